@@ -399,7 +399,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((doc, n, size, sha.hexdigest(), zlib.crc32(tail), len(data), hashlib.sha256(data).hexdigest(), f"{len(marks)}x{wide}x{high}:" + ",".join(marks)))
         if rows:
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=T._parse_datatype_string(DIGEST).names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in DIGEST.split(", ")])
 
 
 def op5_tiff(spark, sf_dir: str) -> DataFrame:
