@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quillmill.llm import exact_dedup, mixing, near_dedup, packing, quality, tiff
+from quillmill.llm import exact_dedup, mixing, near_dedup, packing, quality, surrogates, tiff
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_packing": packing.op2_packing,
+    "op3_pii": surrogates.op3_pii,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_tiff": tiff.op5_tiff,
     "op8_near_dedup": near_dedup.op8_near_dedup,
