@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillmill.llm import exact_dedup, html_wrappers, mixing, near_dedup, packing, quality, surrogates, tiff
+from quillmill.llm import exact_dedup, html_wrappers, mixing, near_dedup, packing, quality, surrogates, tiff, tool_calls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_html": html_wrappers.op7_html,
     "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_mixing": mixing.op9_mixing,
+    "op10_chat": tool_calls.op10_chat,
 }
 
 SQL = {
