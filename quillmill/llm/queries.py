@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillmill.llm import exact_dedup, html_wrappers, mixing, near_dedup, packing, quality, surrogates, tiff, tool_calls
+from quillmill.llm import exact_dedup, html_wrappers, mixing, near_dedup, packing, quality, suffix_dedup, surrogates, tiff, tool_calls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_pii": surrogates.op3_pii,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_tiff": tiff.op5_tiff,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_html": html_wrappers.op7_html,
     "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_mixing": mixing.op9_mixing,
