@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.flat import flat
+from quillmill.llm.flat import slices
 from quillmill.staging import stage
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -42,15 +42,17 @@ def ascii_lower(c: Column) -> Column:
     return F.coalesce(F.translate(c, _UPPER, _LOWER), F.lit(""))
 
 
-def _fresh(before: bytes | None, raw: np.ndarray, at: np.ndarray, lower: bool) -> tuple[list[bool], bytes | None]:
+def _fresh(before: bytes | None, column: pa.Array, lower: bool) -> tuple[list[bool], bytes | None]:
     """Of each text of a batch whether it differs from the one before it; and the last text."""
-    whole, new = raw.tobytes(), []
-    if lower:
-        whole = whole.lower()
-    for k in range(len(at) - 1):
-        text = whole[at[k] : at[k + 1]]
-        new.append(text != before)
-        before = text
+    new: list[bool] = []
+    for _, raw, at in slices(column, 4 << 20):
+        whole = raw.tobytes()
+        if lower:
+            whole = whole.lower()
+        for k in range(len(at) - 1):
+            text = whole[at[k] : at[k + 1]]
+            new.append(text != before)
+            before = text
     return new, before
 
 
@@ -77,7 +79,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not b.num_rows:
             continue
         part = b.column(3)[0].as_py()
-        new, before = _fresh(before, *flat(b.column(1)), False)
+        new, before = _fresh(before, b.column(1), False)
         for fresh in new:
             run += fresh
             runs.append(run)
@@ -97,7 +99,7 @@ def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not b.num_rows:
             continue
         k = b.num_columns
-        new, before = _fresh(before, *flat(b.column(k - 3)), True)
+        new, before = _fresh(before, b.column(k - 3), True)
         mask = np.array(new)
         order = np.cumsum(mask) + count
         count = int(order[-1])

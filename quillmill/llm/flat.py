@@ -7,24 +7,46 @@ longest single text, not the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores behind it as make it a column that ``df`` hasn't got."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """mapInArrow by position, so that names may hold dots or anything else."""
+    inner = T.StructType([T.StructField(f"o{k}", x.dataType) for k, x in enumerate(schema.fields)])
+    names = inner.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in f(batches):
+            yield pa.RecordBatch.from_arrays(b.columns, names=names)
+
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(run, inner).toDF(*schema.names)
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column one after another, and n+1 offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    column = column.cast(pa.large_string())
     if column.null_count:
         column = column.fill_null("")
-    column = column.cast(pa.large_string())
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillmill.llm.flat import map_arrow
 from quillmill.staging import stage
 
 SAMPLE_PAGES = 8
@@ -334,11 +335,9 @@ def wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "html",
 
 
 def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", out: str = "text", sample_pages: int = SAMPLE_PAGES) -> DataFrame:
-    """``pages`` with its main text in ``out`` in place of the html."""
-    if out in pages.columns:
-        raise ValueError(f"the input has a column {out} already; choose another name")
+    """``pages`` with its main text in ``out`` in place of the html; a column of that name gives way."""
     known = stage(wrappers(pages, url_col=url_col, html_col=html_col, sample_pages=sample_pages).select(F.col("host").alias("__host"), F.col("path").alias("__path")), "wrappers")
-    keep = [c for c in pages.columns if c != html_col]
+    keep = [c for c in pages.columns if c not in (html_col, out)]
     # the table's size is known from its files: the optimiser broadcasts it only below its limit
     joined = pages.join(known, host_of(F.col(url_col)) == F.col("__host"), "left").select(*[F.col(f"`{c}`") for c in keep], "__path", F.col(html_col).alias("__html"))
 
@@ -355,7 +354,7 @@ def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", o
             yield pa.RecordBatch.from_arrays([*b.columns[: n - 2], pa.array(texts, pa.string())], names=[*keep, out])
 
     schema = T.StructType([*joined.schema.fields[:-2], T.StructField(out, T.StringType())])
-    return joined.mapInArrow(run, schema)
+    return map_arrow(joined, run, schema)
 
 
 def op7_html(spark, sf_dir: str) -> DataFrame:

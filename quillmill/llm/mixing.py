@@ -20,8 +20,8 @@ rest, drawn by a hash of id and text: the same draw on every run.
 
 Defined cases: a null or empty text has the classifier's prior and no tokens, and its
 rate follows its posterior.  A domain whose labels are missing can't be predicted: a
-target for it is an error, as are negative or all-zero weights.  Empty tables give empty
-results.  Repeated rows have equal rates and equal draws.  Other columns pass through.
+target for it is an error, as are negative or all-zero weights.  Without labelled rows there
+are no domains, and every rate is 1.  Empty tables give empty results.  Repeated rows have equal rates and equal draws.  Other columns pass through.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.flat import slices, sums, words
+from quillmill.llm.flat import fresh, map_arrow, slices, sums, words
 from quillmill.staging import drop, stage
 
 BITS = 14
@@ -87,6 +87,8 @@ def posteriors(column: pa.Array, d: Domains) -> tuple[np.ndarray, np.ndarray]:
     for i, raw, at in slices(column):
         n = len(at) - 1
         tokens[i : i + n] = np.diff(words(raw, at)[2])
+        if not d.names:
+            continue
         z = np.tile(d.bias, (n, 1))
         if len(raw) > 2:
             ids, last = _trigrams(raw), np.maximum(at[1:] - 2, at[:-1])
@@ -124,7 +126,7 @@ def members(docs: DataFrame, d: Domains, *, text_col: str = "text", carry: list[
             p, tokens = posteriors(b.column(b.num_columns - 1), shared.value)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(tokens), pa.array(list(p), pa.list_(pa.float64()))], names=[*b.schema.names[:-1], "tokens", "posterior"])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], T.StructField("tokens", T.LongType()), T.StructField("posterior", T.ArrayType(T.DoubleType()))]))
+    return map_arrow(source, run, T.StructType([*source.schema.fields[:-1], T.StructField("tokens", T.LongType()), T.StructField("posterior", T.ArrayType(T.DoubleType()))]))
 
 
 def fold_rates(p: np.ndarray, gradients: list[np.ndarray], floor: float) -> np.ndarray:
@@ -152,6 +154,8 @@ def fit_rates(table: DataFrame, names: tuple[str, ...], weights: dict[str, float
     ``total``: tokens asked for; by default those that there are, or with a floor the
     fewest with which no domain needs less than its floor.
     """
+    if not names:
+        return Fit((), floor, np.zeros(0), np.zeros(0), np.zeros(0))
     if unknown := set(weights) - set(names):
         raise ValueError(f"no labelled rows of {sorted(unknown)}")
     w = np.array([weights.get(n, 0.0) for n in names])
@@ -189,9 +193,8 @@ def fit_rates(table: DataFrame, names: tuple[str, ...], weights: dict[str, float
 
 
 def with_rates(docs: DataFrame, d: Domains, fit: Fit, *, text_col: str = "text", rate: str = "rate") -> DataFrame:
-    """The rows of ``docs``, all columns, with their rate."""
-    if rate in docs.columns:
-        raise ValueError(f"the input has a column {rate} already; choose another name")
+    """The rows of ``docs``, all columns, with their rate, which replaces a column of that name."""
+    docs = docs.drop(rate)
     shared = docs.sparkSession.sparkContext.broadcast((d, fit))
     at = docs.columns.index(text_col)
 
@@ -201,7 +204,7 @@ def with_rates(docs: DataFrame, d: Domains, fit: Fit, *, text_col: str = "text",
             r = fold_rates(posteriors(b.column(at), d)[0], fit.gradients, fit.floor)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(r)], names=[*b.schema.names, rate])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(rate, T.DoubleType())]))
+    return map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField(rate, T.DoubleType())]))
 
 
 def copies(rate: Column, *key: Column) -> Column:
@@ -245,6 +248,7 @@ def mix(docs: DataFrame, labels: DataFrame, *, targets: dict[str, float] | None
     table = stage(members(docs, d, text_col=text_col), "members")
     fit = fit_rates(table, d.names, present(TARGETS, d) if targets is None else targets, floor=floor)
     drop(table)
-    rated = with_rates(docs, d, fit, text_col=text_col, rate="__rate")
-    n = copies(F.col("__rate"), F.col(id_col), F.col(text_col))
-    return rated.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), n))).drop("__rate", "__copy")
+    rate, copy = fresh(docs, "rate"), fresh(docs, "copy")
+    rated = with_rates(docs, d, fit, text_col=text_col, rate=rate)
+    n = copies(F.col(rate), F.col(id_col), F.col(text_col))
+    return rated.withColumn(copy, F.explode(F.array_repeat(F.lit(0), n))).drop(rate, copy)

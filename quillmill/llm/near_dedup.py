@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.flat import ascii_lower, mix, range_hashes, slices, words
+from quillmill.llm.flat import ascii_lower, fresh, mix, range_hashes, slices, words
 from quillmill.operators.components import component_labels
 from quillmill.staging import stage
 
@@ -249,5 +249,6 @@ def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document stays, with their own columns."""
-    gone = near_duplicates(docs, size=size, percent=percent, id_col=id_col, text_col=text_col).where("NOT kept").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    own = fresh(docs, "gone")
+    gone = near_duplicates(docs, size=size, percent=percent, id_col=id_col, text_col=text_col).where("NOT kept").select(F.col("id").alias(own)).distinct()
+    return docs.join(gone, F.col(id_col) == F.col(own), "left_anti")

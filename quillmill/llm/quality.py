@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.flat import mix, range_hashes, slices, sums, words
+from quillmill.llm.flat import fresh, map_arrow, mix, range_hashes, slices, sums, words
 
 BITS = 18
 _C = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1)]
@@ -45,7 +45,7 @@ class Training:
     bound is reached.
     """
 
-    sample_rows: int = 3000
+    sample_rows: int = 2500
     sample_bytes: int = 32 << 20
     dim: int = 8
     epochs: int = 4
@@ -184,10 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", keep: Col
 
 
 def score(docs: DataFrame, table: np.ndarray, *, text_col: str = "text", out: str = "score", carry: list[str] | None = None) -> DataFrame:
-    """The rows of ``docs`` (columns ``carry``, all by default) with the probability ``out``."""
-    carry = list(docs.columns if carry is None else carry)
-    if out in carry:
-        raise ValueError(f"the input has a column {out} already; choose another name")
+    """The rows of ``docs`` (columns ``carry``, all by default) with the probability ``out``, which replaces a column of that name."""
+    carry = [c for c in (docs.columns if carry is None else carry) if c != out]
     shared = docs.sparkSession.sparkContext.broadcast(table)
     source = docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text_col).alias("__text"))
 
@@ -196,7 +194,7 @@ def score(docs: DataFrame, table: np.ndarray, *, text_col: str = "text", out: st
             scores = pa.array(score_batch(b.column(b.num_columns - 1), shared.value), pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], scores], names=[*b.schema.names[:-1], out])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], T.StructField(out, T.DoubleType())]))
+    return map_arrow(source, run, T.StructType([*source.schema.fields[:-1], T.StructField(out, T.DoubleType())]))
 
 
 THRESHOLD = 0.3
@@ -218,4 +216,5 @@ def op1_quality(spark, sf_dir: str) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score ``threshold`` or more, with their own columns."""
     table = fit(docs, labels, keep=~held_out("_id"))
-    return score(docs, table, out="__score").where(F.col("__score") >= threshold).drop("__score")
+    own = fresh(docs, "score")
+    return score(docs, table, out=own).where(F.col(own) >= threshold).drop(own)

@@ -144,7 +144,7 @@ class Contexts:
                 continue
             core = np.concatenate([self.left[ok, :x], self.right[ok, : self.side - y]], axis=1)
             power = _power(core.shape[1] + 1)[0][1:]
-            g = mix(mix(self.g[ok] + np.uint64(x + 1) * _ODD) ^ (_SPREAD[core] * power[None, : core.shape[1]]).sum(1, dtype=np.uint64))
+            g = mix(mix(self.g[ok] + np.uint64((x + 1) * int(_ODD) % (1 << 64))) ^ (_SPREAD[core] * power[None, : core.shape[1]]).sum(1, dtype=np.uint64))
             yield Contexts(g=g, left=self.left[ok, x:y], right=self.right[ok, self.side - y : self.side - x], a=np.minimum(self.a[ok] - x, y - x), b=np.minimum(self.b[ok] - (self.side - y), y - x), base=self.base[ok] + x, full=self.full[ok], key=self.key[ok], pos=self.pos[ok])
 
 

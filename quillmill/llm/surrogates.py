@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmill.llm.flat import fresh
 from quillmill.staging import drop, stage
 
 # The shapes that count as personal.  Every repetition is bounded, so that no text takes quadratic time.
@@ -166,21 +167,21 @@ def dictionary(entities: DataFrame, secret: str) -> DataFrame:
 
 
 def replace(docs: DataFrame, *, secret: str = "quillmill", text_col: str = "text", extra: str = "n_entities") -> DataFrame:
-    """``docs`` with its entities replaced, and the number of them in ``extra``."""
-    if extra in docs.columns:
-        raise ValueError(f"the input has a column {extra} already; choose another name")
+    """``docs`` with its entities replaced, and the number of them in ``extra``, which replaces a column of that name."""
+    docs = docs.drop(extra)
     text = F.col(f"`{text_col}`")
     has = F.coalesce(text.rlike(HINT) & text.rlike(ANY), F.lit(False))
     matches = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     found = docs.where(has).select(F.xxhash64(text).alias("h"), F.array_distinct(F.flatten(F.transform(matches, keys))).alias("ks"))
     found = stage(found.dropDuplicates(["h", "ks"]).select("h", F.explode("ks").alias("key")).distinct(), "found")
     known = dictionary(found.select("key").distinct(), secret)
-    maps = found.join(known, "key").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("key", "surrogate"))).alias("__map"))
-    maps = stage(maps.withColumnRenamed("h", "__h"), "maps")
+    maps = found.join(known, "key").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("key", "surrogate"))).alias("map"))
+    h, own, m = (fresh(docs, x) for x in ("hash", "map", "matches"))
+    maps = stage(maps.select(F.col("h").alias(h), F.col("map").alias(own)), "maps")
     # the size of ``maps`` is known from its files: the optimiser broadcasts it only below its limit
-    hit = docs.where(has).join(maps, F.xxhash64(text) == F.col("__h")).withColumn("__m", matches)
-    new = F.array_join(F.zip_with(F.split(text, ANY), F.col("__m"), lambda piece, m: F.concat(piece, F.when(m.isNull(), "").otherwise(rebuilt(m, F.col("__map"))))), "")
-    changed = hit.withColumn(extra, F.size("__m")).withColumn(text_col, new).select(*docs.columns, extra)
+    hit = docs.where(has).join(maps, F.xxhash64(text) == F.col(h)).withColumn(m, matches)
+    new = F.array_join(F.zip_with(F.split(text, ANY), F.col(m), lambda piece, x: F.concat(piece, F.when(x.isNull(), "").otherwise(rebuilt(x, F.col(own))))), "")
+    changed = hit.withColumn(extra, F.size(m)).withColumn(text_col, new).select(*[F.col(f"`{c}`") for c in docs.columns], extra)
     return changed.unionByName(docs.where(~has).withColumn(extra, F.lit(0)))
 
 

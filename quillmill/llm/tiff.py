@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.flat import flat
+from quillmill.llm.flat import flat, map_arrow
 
 # Fixed values of TIFF 6.0: tags, compressions, and the size of each field type.
 WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PLANAR, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284, 317, 322, 323, 324, 325
 NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 TYPE_SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 ROW = 192
+MOST_EXPANSION = 4096
 
 
 class TiffError(ValueError):
@@ -238,10 +239,8 @@ def _directory(data: bytes, at: int, order: str) -> tuple[dict[int, tuple], int]
             spot = at + 10 + 12 * k if size <= 4 else struct.unpack_from(order + "I", data, at + 10 + 12 * k)[0]
             if spot + size > len(data):
                 raise TiffError("a field lies outside the file")
-            if kind in (1, 3, 4):
+            if kind in (1, 3, 4) and count:  # no field of another type is needed
                 tags[tag] = struct.unpack_from(f"{order}{count}{ {1: 'B', 3: 'H', 4: 'I'}[kind] }", data, spot)
-            else:
-                tags[tag] = (data[spot : spot + size],)
         return tags, struct.unpack_from(order + "I", data, at + 2 + 12 * n)[0]
     except struct.error as e:
         raise TiffError("a directory is cut off") from e
@@ -282,11 +281,18 @@ def read_pages(data: bytes) -> Iterator[Page]:
         wide, rows, samples, compression, predictor = one(WIDTH), one(LENGTH), one(SAMPLES, 1), one(COMPRESSION, 1), one(PREDICTOR, 1)
         if not wide or not rows or set(tags.get(BITS, (1,))) != {8} or one(PLANAR, 1) != 1 or predictor not in (1, 2):
             raise TiffError("only chunky 8-bit images with predictor 1 or 2 are read")
+        # no codec here expands further, so a small file can't ask for a large picture
+        if rows * wide * samples > MOST_EXPANSION * len(data):
+            raise TiffError("the picture is larger than its data can be")
         if TILE_OFFSETS in tags:
             th, tw, offsets, counts = one(TILE_LENGTH), one(TILE_WIDTH), tags[TILE_OFFSETS], tags.get(TILE_COUNTS, ())
+            if not th or not tw or th * tw * samples > MOST_EXPANSION * len(data):
+                raise TiffError("tiles of a wrong size")
             spots = [(y, x) for y in range(0, rows, th) for x in range(0, wide, tw)]
         else:
             th, tw, offsets, counts = min(one(ROWS_PER_STRIP, rows), rows), wide, tags.get(STRIP_OFFSETS, ()), tags.get(STRIP_COUNTS, ())
+            if not th:
+                raise TiffError("strips without rows")
             spots = [(y, 0) for y in range(0, rows, th)]
         if len(offsets) != len(spots) or len(counts) != len(spots):
             raise TiffError("strips or tiles are missing")
@@ -326,10 +332,9 @@ PAGE_FIELDS = "page int, width int, height int, samples int, compression int, pr
 
 
 def pages(df: DataFrame, media_col: str) -> DataFrame:
-    """One row for each page of the TIFF in ``media_col``, with the other columns (under their names) before it."""
-    names = [c for c in df.columns if c != media_col]
-    if clash := set(names) & set(T._parse_datatype_string(PAGE_FIELDS).names):
-        raise ValueError(f"rename the columns {sorted(clash)} first")
+    """One row for each page of the TIFF in ``media_col``, with the other columns (under their names) before it; those named as a page's own give way."""
+    own = set(T._parse_datatype_string(PAGE_FIELDS).names)
+    names = [c for c in df.columns if c != media_col and c not in own]
     source = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{media_col}`").cast("binary").alias("__media"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,7 +352,7 @@ def pages(df: DataFrame, media_col: str) -> DataFrame:
                 left = b.slice(k, 1).columns[:-1]
                 yield pa.RecordBatch.from_arrays([*(c.take(pa.array([0] * len(rows))) for c in left), *cols], names=[*b.schema.names[:-1], *schema.names])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], *T._parse_datatype_string(PAGE_FIELDS).fields]))
+    return map_arrow(source, run, T.StructType([*source.schema.fields[:-1], *T._parse_datatype_string(PAGE_FIELDS).fields]))
 
 
 STORED = "n_bytes long, payload_bytes long, media binary"
@@ -367,7 +372,7 @@ def store(df: DataFrame, text_col: str, how: Layout = Layout(), carry: list[str]
                 media = [write_pages(payload_pages(p, how), how) for p in padded]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([len(t) for t in texts], pa.int64()), pa.array([len(p) for p in padded], pa.int64()), pa.array(media, pa.binary())], names=[*b.schema.names[:-1], "n_bytes", "payload_bytes", "media"])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields[:-1], *T._parse_datatype_string(STORED).fields]))
+    return map_arrow(source, run, T.StructType([*source.schema.fields[:-1], *T._parse_datatype_string(STORED).fields]))
 
 
 def _parts(b: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
