@@ -173,7 +173,8 @@ def replace(docs: DataFrame, *, secret: str = "quillmill", text_col: str = "text
     has = F.coalesce(text.rlike(HINT) & text.rlike(ANY), F.lit(False))
     matches = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     found = docs.where(has).select(F.xxhash64(text).alias("h"), F.array_distinct(F.flatten(F.transform(matches, keys))).alias("ks"))
-    found = stage(found.dropDuplicates(["h", "ks"]).select("h", F.explode("ks").alias("key")).distinct(), "found")
+    # explode() would have the optimiser work out the matches once more, to drop rows without any
+    found = stage(found.select("h", F.explode_outer("ks").alias("key")).distinct().where("key IS NOT NULL"), "found")
     known = dictionary(found.select("key").distinct(), secret)
     maps = found.join(known, "key").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("key", "surrogate"))).alias("map"))
     h, own, m = (fresh(docs, x) for x in ("hash", "map", "matches"))
