@@ -63,7 +63,7 @@ def as_number(label: Column) -> Column:
     """
     text = F.translate(label.cast("string"), "０１２３４５６７８９", "0123456789")
     text = F.regexp_replace(text, r"(?<=\d)_(?=\d)", "")
-    ends_in_letter = text.rlike(r"(?i)[fd]\s*$")
+    ends_in_letter = text.rlike(r"(?i)(?<!in)[fd]\s*$")
     return F.when(~ends_in_letter, text.try_cast("double"))
 
 
