@@ -502,7 +502,8 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     drop(found, texts, mixed, sorted_)
     all_rows = rows.select("id", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("sha"))
     copies = all_rows.groupBy("sha").agg(F.count("*").alias("copies"))
-    known = copies.join(parts, "sha", "left")
+    # a table of its own: a join of two exchanges, which the optimiser can split where many rows have one text
+    known = stage(copies.join(parts, "sha", "left"), "known")
     out = all_rows.join(known, "sha")
     gone = (F.col("copies") > 1) & (F.col("n") >= LENGTH)
     whole = F.array(F.struct(F.lit(0).alias("begin"), F.col("n").cast("int").alias("end")))
