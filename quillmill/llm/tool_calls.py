@@ -174,7 +174,7 @@ def link(parts: DataFrame) -> DataFrame:
 
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(node, order_turn, order_level, cyclic)`` for the nodes (node, turn) that edges (before, after) touch."""
-    edges = stage(edges.where("before <> after").distinct().unionByName(edges.where("before = after").distinct()), "edges")
+    edges = stage(edges.distinct(), "edges")
     touched = nodes.join(edges.select(F.explode(F.array("before", "after")).alias("node")).distinct(), "node").select("node", "turn").dropDuplicates(["node"])
     touched = stage(touched, "touched")
     waiting = edges.select(F.col("after").alias("node")).distinct()
