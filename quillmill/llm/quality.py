@@ -201,8 +201,8 @@ THRESHOLD = 0.3
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    """Whether crc32 of the id as text leaves no remainder by 5."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
+    """Whether crc32 of the id as text leaves no remainder by 5; a null id is not held out."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:
