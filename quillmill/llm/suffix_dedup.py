@@ -333,7 +333,12 @@ def _repeated_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 yield _places(key, first, None, None, last)
     if parts:
         h, key, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+        # copies of a text bring the same place more than once; a mark on one of them is kept
+        order = np.lexsort((~h, pos, key, h >> np.uint64(1)))
+        h, key, pos = h[order], key[order], pos[order]
         bare = h & ~np.uint64(1)
+        once = np.r_[True, (bare[1:] != bare[:-1]) | (key[1:] != key[:-1]) | (pos[1:] != pos[:-1])]
+        h, key, pos, bare = h[once], key[once], pos[once], bare[once]
         _, inverse, times = np.unique(bare, return_inverse=True, return_counts=True)
         ok = times[inverse] > 1
         yield _places(key[ok], pos[ok], bare[ok].view(np.int64), (h[ok] & np.uint64(1)) == 1, None)
@@ -489,7 +494,9 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     # every text that has a span found already has a place too, or is found through its spans
     touched = found.where("h IS NULL").select("key").distinct().join(own, "key", "full_outer")
     places = F.coalesce("places", F.array().cast("array<struct<pos:int,h:long,multi:boolean>>")).alias("places")
-    texts = stage(long.join(touched, "key").select("key", "text", places), "texts")
+    # one row for each text: copies are combined before the shuffle, so many of them make no task large
+    distinct = long.groupBy("key").agg(F.collect_set("text").alias("texts"))
+    texts = stage(distinct.join(touched, "key").select("key", F.explode("texts").alias("text"), places), "texts")
     some = texts.where("size(places) > 0").select("key", "text", "places")
     mixed = stage(deal(some.mapInArrow(_find_contexts(count), PACK), _mixed_groups, PLACES), "contexts")
     cut = mixed.where("multi IS NOT NULL").groupBy("key").agg(F.collect_list(F.struct("pos", "h", "multi", "last")).alias("cuts"))
