@@ -55,7 +55,7 @@ def test_json(spark, tmp_path):
         json.dump({"data": [[{"instruction": "i", "response": "r"}, {"instruction": "j", "response": None}], [{"instruction": "not"}]]}, f)
     got = readers.first_data(spark, f"{tmp_path}/qwen_coder.json", "instruction string, response string").withColumn("m", readers.model_of(F.col("file_name")))
     assert [(r.instruction, r.response, r.m) for r in got.collect()] == [("i", "r", "qwen2.5-coder-32b"), ("j", None, "qwen2.5-coder-32b")]
-    spark.createDataFrame([("p", "1")], "text string, n string").write.parquet(f"{tmp_path}/mix/a.parquet")
+    spark.createDataFrame([("p", "1")], "text string, n string").coalesce(1).write.parquet(f"{tmp_path}/mix/a.parquet")
     with open(f"{tmp_path}/mix/b.jsonl", "w") as f:
         f.write('{"text": "q", "n": "01"}\n')
     os.replace(next(str(p) for p in (tmp_path / "mix/a.parquet").iterdir() if p.suffix == ".parquet"), f"{tmp_path}/mix/c.parquet")
