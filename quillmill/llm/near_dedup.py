@@ -125,7 +125,7 @@ def prefix_posts(classes: DataFrame, matches: int) -> DataFrame:
 def families(posts: DataFrame) -> DataFrame:
     """``(rep, family)`` for classes that share a pair with another."""
     least = posts.groupBy("token").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    star = posts.join(least, "token").where("rep <> hub").select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct()
+    star = posts.join(least, "token").where("rep <> hub").select(F.col("rep").alias("u"), F.col("hub").alias("v"))
     return component_labels(star).select(F.col("id").alias("rep"), F.col("label").alias("family"))
 
 
@@ -139,7 +139,10 @@ class _Union:
 
 
 def block_links(left: pd.DataFrame, right: pd.DataFrame | None, matches: int, percent: int) -> list[tuple[bytes, bytes]]:
-    """Links within ``left``, or between ``left`` and ``right``, that connect what was not connected."""
+    """Links within ``left``, or between ``left`` and ``right``, that connect what was not connected.
+
+    Within ``left`` they are given as stars: from each member to the least of its component.
+    """
     both = left if right is None else pd.concat([left, right], ignore_index=True)
     sig = np.stack(both["sig"].to_numpy())
     values = [np.frombuffer(x, np.uint64) for x in both["elements"]]
@@ -162,12 +165,18 @@ def block_links(left: pd.DataFrame, right: pd.DataFrame | None, matches: int, pe
             for u in np.unique(group.up[yes]):
                 out.append((bytes(rep[i]), bytes(rep[yes[group.up[yes] == u][0]])))
             group.join(i, yes)
-    return out
+    if right is not None:
+        return out
+    least: dict[int, bytes] = {}
+    for g, x in zip(group.up.tolist(), rep, strict=True):
+        least[g] = min(least.get(g, bytes(x)), bytes(x))
+    return [(bytes(x), least[g]) for g, x in zip(group.up.tolist(), rep, strict=True) if bytes(x) != least[g]]
 
 
 def _linker(matches: int, percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = int(pdf["a"].iloc[0]), int(pdf["b"].iloc[0])
+        pdf = pdf.drop_duplicates("rep")  # a repeated id brings its class more than once
         left = pdf[pdf["block"] == a].reset_index(drop=True)
         right = None if a == b else pdf[pdf["block"] == b].reset_index(drop=True)
         links = block_links(left, right, matches, percent) if len(left) and (right is None or len(right)) else []
@@ -206,14 +215,14 @@ def class_links(docs: DataFrame, classes: DataFrame, *, size: int, percent: int,
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = placed.join(texts, "id").select("rep", "family", "blocks", "block", "sig", "text")
     made = rows.mapInArrow(_elements(size), "rep binary, family binary, blocks int, block int, sig array<int>, elements binary")
-    made = stage(made.dropDuplicates(["rep"]).withColumn("label", F.col("rep")), "members")
+    made = stage(made.withColumn("label", F.col("rep")), "members")
     run = _linker(matches, percent)
     near = stage(_pairs(made, False).groupBy("family", "a", "b").applyInPandas(run, "u binary, v binary"), "links")
     large = made.where("blocks > 1")
     if not large.limit(1).count():
         return near
     # What the blocks connect on their own need not be compared again across blocks.
-    known = component_labels(near).select(F.col("id").alias("rep"), F.col("label").alias("known"))
+    known = near.select(F.col("u").alias("rep"), F.col("v").alias("known"))
     large = large.join(known, "rep", "left").withColumn("label", F.coalesce("known", "label")).drop("known")
     far = stage(_pairs(large, True).groupBy("family", "a", "b").applyInPandas(run, "u binary, v binary"), "links")
     return near.union(far)
