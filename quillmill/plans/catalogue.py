@@ -256,8 +256,8 @@ def _(spark, sf):
 NOISE = "replace(replace(replace(replace(left(text, 300), ' th', chr(160) || chr(8195) || '□th'), '. ', '.' || chr(13) || chr(10) || chr(13)), ' o', '    o'), ' a', '-----■' || chr(12288) || 'a')"
 
 
-def _noisy() -> Column:
-    c = F.substring("text", 1, 300)
+def _noisy(c: Column | None = None) -> Column:
+    c = F.substring("text", 1, 300) if c is None else c
     for old, new in ((" th", "  □th"), (". ", ".\r\n\r"), (" o", "    o"), (" a", "-----■　a")):
         c = F.replace(c, F.lit(old), F.lit(new))
     return F.concat(F.lit(" \x1c "), c, F.lit("  "))
@@ -274,6 +274,28 @@ def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.without_nbsp(_noisy()).alias("data"))
 
 
+# The SQL of the four queries above and below that cut their texts is given; these run the same operators over whole texts.
+
+
+@query("clean_text_whole", SQL["clean_text"].replace("left(text, 300)", "text"))
+def _(spark, sf):
+    """T9, T12."""
+    return table(spark, sf, "documents").select("doc_id", X.uniform(_noisy(F.col("text"))).alias("clean"))
+
+
+@query("strip_nbsp_whole", SQL["strip_nbsp"].replace("left(text, 300)", "text"))
+def _(spark, sf):
+    """T10."""
+    return table(spark, sf, "documents").select("doc_id", X.without_nbsp(_noisy(F.col("text"))).alias("data"))
+
+
+@query("prompt_fill_whole", SQL["prompt_fill"].replace("left(text, 50)", "text"))
+def _(spark, sf):
+    """T4, T5."""
+    text = F.col("text")
+    return table(spark, sf, "documents").select("doc_id", X.filled("Rate 100% of {this}: {} / {}", text, F.col("lang")).alias("positional"), X.filled_by_name('{{"q": "{query}"}}', query=text).alias("named"))
+
+
 @query("text_digests", "SELECT doc_id, md5(text) AS m, sha256(text) AS s, length(text) AS n, CASE WHEN source LIKE '%1' THEN left(source, length(source) - 1) || '.x' ELSE source END AS swapped FROM documents")
 def _(spark, sf):
     """T18, T20, T21."""
@@ -294,6 +316,13 @@ def _(spark, sf):
     return d.select("conv_id", X.inner_quotes_repaired(quoted).alias("repaired"))
 
 
+@query("repair_inner_quotes_whole", f"SELECT conv_id, turn, {repaired_sql('quoted')} AS repaired FROM (SELECT conv_id, turn, replace(replace(text, ' ', '\"'), 'e', '{{\"') || ':\"a\"b\",\"c\"}}' AS quoted FROM conversations)")
+def _(spark, sf):
+    """T15, every turn."""
+    quoted = F.concat(F.replace(F.replace("text", F.lit(" "), F.lit('"')), F.lit("e"), F.lit('{"')), F.lit(':"a"b","c"}'))
+    return table(spark, sf, "conversations").select("conv_id", "turn", X.inner_quotes_repaired(quoted).alias("repaired"))
+
+
 _OK = f"json_valid({BARE_SQL})"
 FIELDS_SQL = f"""(SELECT conv_id, CASE WHEN {_OK} THEN json_extract_string({BARE_SQL}, '$.difficulty') END AS difficulty, CASE WHEN {_OK} THEN json_extract_string({BARE_SQL}, '$.score') END AS score,
  CASE WHEN {_OK} THEN json_extract_string({BARE_SQL}, '$.primary_tag') END AS primary_tag, CASE WHEN {_OK} THEN json_extract_string({BARE_SQL}, '$.other_tags[1]') END AS second_tag, CASE WHEN {_OK} THEN json_extract_string({BARE_SQL}, '$.intent') END AS intent, CASE WHEN {_OK} THEN json_extract_string({BARE_SQL}, '$.knowledge') END AS knowledge FROM {REPLIES_SQL})"""

@@ -37,6 +37,16 @@ def test_query(spark, tiny, con, name):
     assert sorted(names) == columns and rows == sorted(repr(tuple(plain(r[i]) for i in at)) for r in cur.fetchall())
 
 
+def test_texts_are_whole(spark, tiny):
+    """What cleaning, prompts and repairs return goes on to the end of the text."""
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").where("length(text) > 1000").select("doc_id", "text")
+    for name, out, least in (("clean_text_whole", "clean", 900), ("strip_nbsp_whole", "data", 1000), ("prompt_fill_whole", "positional", 1000), ("prompt_fill_whole", "named", 1000)):
+        got = catalogue.QUERIES[name](spark, tiny).join(docs, "doc_id").selectExpr(f"length({out}) AS n").collect()
+        assert got and all(r.n > least for r in got), name
+    turns = spark.read.parquet(f"{tiny}/conversations.parquet")
+    assert catalogue.QUERIES["repair_inner_quotes_whole"](spark, tiny).where("length(repaired) > 80").count() >= turns.where("length(text) > 80").count() > 0
+
+
 def test_contract(spark):
     queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert set(sql) <= set(queries) and __spark_entry__.entry(spark).count() == 2
