@@ -422,6 +422,24 @@ def _(spark, sf):
     return row_numbers(d, ["k", "doc_id"], "place").select("doc_id", "place")
 
 
+# The SQL of the two queries above is given; these run the same operators over all documents, and with the operator's own cap.
+
+
+@query("sample_cap_whole", SQL["sample_cap"].replace("LIMIT 400", "LIMIT 500000"))
+def _(spark, sf):
+    """O4."""
+    return select.sample_cap(table(spark, sf, "documents")).select("doc_id")
+
+
+@query("seeded_shuffle_rank_whole", SQL["seeded_shuffle_rank"].replace(" WHERE lang = 'de'", ""))
+def _(spark, sf):
+    """O5, P11."""
+    from quillmill.operators.numbering import row_numbers
+
+    d = table(spark, sf, "documents").select("doc_id", select.shuffle_key(1, "doc_id").alias("k"))
+    return row_numbers(d, ["k", "doc_id"], "place").select("doc_id", "place")
+
+
 # -- conversations --------------------------------------------------------------------------------
 
 

@@ -47,6 +47,12 @@ def test_texts_are_whole(spark, tiny):
     assert catalogue.QUERIES["repair_inner_quotes_whole"](spark, tiny).where("length(repaired) > 80").count() >= turns.where("length(text) > 80").count() > 0
 
 
+def test_every_document_has_a_place(spark, tiny):
+    n = spark.read.parquet(f"{tiny}/documents.parquet").count()
+    places = [r.place for r in catalogue.QUERIES["seeded_shuffle_rank_whole"](spark, tiny).collect()]
+    assert sorted(places) == list(range(1, n + 1)) and catalogue.QUERIES["sample_cap_whole"](spark, tiny).count() == n
+
+
 def test_contract(spark):
     queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert set(sql) <= set(queries) and __spark_entry__.entry(spark).count() == 2
