@@ -2,7 +2,8 @@
 
 A wrapper is a union-free regular expression over a page's elements: sequences with
 optional parts, repeated groups and text slots, and no alternatives.  It is inferred from
-a bounded sample of the host's pages, one page after another: children that repeat, alone
+all pages of the host: each task folds its pages, and the tasks' wrappers are folded by
+host.  Pages of one skeleton are merged part by part, others are aligned: children that repeat, alone
 or in groups of up to four, fold into a repeated group; two lists of children are aligned
 by their longest common subsequence, what has no counterpart becomes optional, and texts
 that differ become slots.
@@ -11,10 +12,8 @@ The wrapper's statistics say where a host keeps its articles: the element named
 there is one outside the parts that never are (menus, footers, forms, adverts, comments
 and so on), else the deepest one that has most of the text that varies from page to page
 and is no link.  Every page is then read through its host's wrapper; a page that has not
-got that element is read through a wrapper of its own.
-
-SAMPLE_PAGES pages of each host, those first by a hash, form its wrapper; extraction
-covers all pages and their whole html.
+got that element is read through a wrapper of its own, in which texts that never differ on
+LEAST_PAGES different pages of the host or more count for nothing.
 
 Defined cases: null html counts as empty and gives the empty text; so does a page without
 text outside excluded parts.  A null or unreadable url belongs to the host "".  Broken
@@ -24,6 +23,7 @@ their parent.  Repeated rows and null ids are passed through; other columns are
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -38,7 +38,8 @@ from pyspark.sql import types as T
 from quillmill.llm.flat import map_arrow
 from quillmill.staging import stage
 
-SAMPLE_PAGES = 8
+LEAST_PAGES = 3
+HELD_SKELETONS = 256  # a task merges what it has after so many
 
 # Element classes of HTML, and names that pages give to parts that are no article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -60,23 +61,24 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    """An element: its label, whether it can hold article text, and children, which are nodes or texts."""
+    """An element: its label, whether it can hold no article text (2), and children, which are nodes or texts."""
 
     __slots__ = ("tag", "label", "never", "kids")
 
-    def __init__(self, tag: str, label: str, never: bool) -> None:
+    def __init__(self, tag: str, label: str, never: int) -> None:
         self.tag, self.label, self.never, self.kids = tag, label, never, []
 
 
 def _element(tag: str, attributes: str) -> Node:
-    label, never = tag, tag in NEVER
+    label, never = tag, 2 * (tag in NEVER)
     if attributes and not attributes.isspace():
         values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
         names = f"{values.get('class', '')} {values.get('id', '')}"
         label += "".join("." + c for c in sorted(re.sub(r"\d+", "#", values.get("class", "")).split())[:4])
         if tag not in ("html", "body"):
-            never = never or not NEVER_NAMED.isdisjoint(x.lower() for x in _NAME.findall(names))
-        never = never or values.get("role", "").lower() in NEVER_ROLES or "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "").lower()
+            named = NEVER_NAMED.intersection(x.lower() for x in _NAME.findall(names))
+            never = 2 if named else never
+        never = 2 if values.get("role", "").lower() in NEVER_ROLES or "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "").lower() else never
         if values.get("role", "").lower() == "main":
             label += "@main"
     return Node(tag, label, never)
@@ -84,7 +86,7 @@ def _element(tag: str, attributes: str) -> Node:
 
 def parse(page: str) -> Node:
     """The tree of a page; raw elements (scripts and such) keep no text."""
-    root = Node("", "", False)
+    root = Node("", "", 0)
     stack, pos, n = [root], 0, len(page)
     flat: dict[str, int] = {}
     while pos < n:
@@ -129,44 +131,59 @@ def parse(page: str) -> Node:
 
 
 class Part:
-    """A part of a wrapper: an element, a group, or a text slot, with what the sample shows of it."""
+    """A part of a wrapper: an element, a group, or a text slot, with what the pages show of it.
+
+    ``texts`` has the least two (hash, beginning) of its whole texts, ``ids`` the least LEAST_PAGES hashes of pages
+    that have it; ``source`` says where a single page has it.
+    """
 
-    __slots__ = ("label", "tag", "never", "kids", "optional", "repeated", "texts", "chars", "links", "pages")
+    __slots__ = ("label", "tag", "never", "kids", "optional", "repeated", "texts", "chars", "links", "pages", "ids", "source")
 
-    def __init__(self, label: str, tag: str = "", never: bool = False) -> None:
-        self.label, self.tag, self.never = label, tag, never
+    def __init__(self, label: str, tag: str = "", never: int = 0, ids: tuple = ()) -> None:
+        self.label, self.tag, self.never, self.ids = label, tag, never, ids
         self.kids: list[Part] = []
         self.optional = self.repeated = False
-        self.texts: set[str] = set()
+        self.texts: set[tuple[str, str]] = set()
         self.chars = self.links = 0
         self.pages = 1
+        self.source: list = []
 
     def notation(self) -> str:
         """The expression: labels, #text for slots, the text itself where it never differs, + and ? as usual."""
         if self.label == "#text":
-            out = "#text" if len(self.texts) != 1 else json.dumps(next(iter(self.texts))[:40], ensure_ascii=False)
+            out = "#text" if len(self.texts) != 1 else json.dumps(next(iter(self.texts))[1], ensure_ascii=False)
         else:
             inner = " ".join(k.notation() for k in self.kids)
             out = f"({inner})" if self.label.startswith("(") else f"<{self.label}>{inner and ' ' + inner + ' '}</>"
         return out + "+" * self.repeated + "?" * self.optional
 
 
-def part_of(node: Node, in_link: bool = False) -> Part:
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+def part_of(node: Node, in_link: bool = False, ids: tuple = ("",)) -> Part:
     """A page's element as a wrapper that only this page fits, its repetitions folded."""
-    out = Part(node.label, node.tag, node.never)
+    out = Part(node.label, node.tag, node.never, ids)
+    out.source.append(id(node))
     in_link = in_link or node.tag == "a"
-    for kid in node.kids:
+    for i, kid in enumerate(node.kids):
         if isinstance(kid, Node):
-            out.kids.append(part_of(kid, in_link))
+            out.kids.append(part_of(kid, in_link, ids))
         elif not kid.isspace():
-            slot = Part("#text")
-            slot.texts.add(kid.strip()[:200])
+            slot, text = Part("#text", ids=ids), kid.strip()
+            slot.texts.add((_digest(text), text[:40]))
+            slot.source.append((id(node), i))
             slot.chars, slot.links = len(kid), len(kid) * in_link
             out.kids.append(slot)
     out.kids = _folded(out.kids)
     return out
 
 
+def page_part(page: str) -> Part:
+    return part_of(parse(page), ids=(_digest(page),))
+
+
 def _folded(kids: list[Part]) -> list[Part]:
     """Neighbouring repetitions of one to four children as one repeated part."""
     for size in (1, 2, 3, 4):
@@ -184,7 +201,7 @@ def _folded(kids: list[Part]) -> list[Part]:
                     group[0].repeated = True
                     out.append(group[0])
                 else:
-                    fold = Part("(" + " ".join(labels) + ")")
+                    fold = Part("(" + " ".join(labels) + ")", ids=group[0].ids)
                     fold.kids, fold.repeated = group, True
                     out.append(fold)
                 i = end
@@ -197,50 +214,137 @@ def _folded(kids: list[Part]) -> list[Part]:
 
 def merged(a: Part, b: Part, same_page: bool = False) -> Part:
     """The least wrapper of this form that fits what ``a`` and ``b`` fit; they have one label."""
-    out = Part(a.label, a.tag, a.never and b.never)
+    out = Part(a.label, a.tag, min(a.never, b.never), a.ids if a.ids == b.ids else tuple(sorted({*a.ids, *b.ids})[:LEAST_PAGES]))
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
     out.chars, out.links = a.chars + b.chars, a.links + b.links
     out.pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
     out.texts = a.texts | b.texts
-    if len(out.texts) > 8:
-        out.texts = set(sorted(out.texts)[:8])
-    n, m = len(a.kids), len(b.kids)
+    if same_page:
+        out.source = a.source + b.source
+    if len(out.texts) > 2:
+        out.texts = set(sorted(out.texts)[:2])
     if [k.label for k in a.kids] == [k.label for k in b.kids]:
         out.kids = [merged(x, y, same_page) for x, y in zip(a.kids, b.kids, strict=True)]
         return out
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a.kids[i].label == b.kids[j].label else max(best[i + 1][j], best[i][j + 1])
-    i = j = 0
     kids: list[Part] = []
-    while i < n or j < m:
-        if i < n and j < m and a.kids[i].label == b.kids[j].label:
-            kids.append(merged(a.kids[i], b.kids[j], same_page))
-            i, j = i + 1, j + 1
+    for x, y in _aligned(a.kids, b.kids):
+        if x is not None and y is not None:
+            kids.append(merged(x, y, same_page))
         else:
-            only = a.kids[i] if j == m or i < n and best[i + 1][j] >= best[i][j + 1] else b.kids[j]
-            i, j = (i + 1, j) if i < n and only is a.kids[i] else (i, j + 1)
+            only = y if x is None else x
             only.optional = True
             kids.append(only)
     out.kids = _folded(kids)
     return out
 
 
+def _aligned(a: list, b: list) -> list[tuple]:
+    """Pairs along the longest common subsequence of the labels, None where one list has no counterpart."""
+    lo, n, m = 0, len(a), len(b)
+    while lo < min(n, m) and a[lo].label == b[lo].label:
+        lo += 1
+    while min(n, m) > lo and a[n - 1].label == b[m - 1].label:
+        n, m = n - 1, m - 1
+    out = list(zip(a[:lo], b[:lo], strict=True))
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, lo - 1, -1):
+        for j in range(m - 1, lo - 1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i].label == b[j].label else max(best[i + 1][j], best[i][j + 1])
+    i = j = lo
+    while i < n or j < m:
+        if i < n and j < m and a[i].label == b[j].label:
+            out.append((a[i], b[j]))
+            i, j = i + 1, j + 1
+        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
+            out.append((a[i], None))
+            i += 1
+        else:
+            out.append((None, b[j]))
+            j += 1
+    return [*out, *zip(a[n:], b[m:], strict=True)]
+
+
+def _packed(p: Part) -> list:
+    return [p.label, p.tag, p.never, p.optional, p.repeated, sorted(p.texts), p.chars, p.links, p.pages, p.ids, [_packed(k) for k in p.kids]]
+
+
+def _unpacked(v: list) -> Part:
+    out = Part(v[0], v[1], v[2], tuple(v[9]))
+    out.optional, out.repeated, out.texts, out.chars, out.links, out.pages = v[3], v[4], {tuple(x) for x in v[5]}, v[6], v[7], v[8]
+    out.kids = [_unpacked(k) for k in v[10]]
+    return out
+
+
+def _skeleton(p: Part) -> tuple:
+    return (p.label, *map(_skeleton, p.kids))
+
+
+class Fold:
+    """Wrappers by host of any number of pages; pages of one skeleton are merged before those are aligned."""
+
+    def __init__(self) -> None:
+        self.done: dict[str, Part] = {}
+        self.held: dict[tuple, Part] = {}
+
+    def add(self, host: str, part: Part) -> None:
+        key = (host, _skeleton(part))
+        have = self.held.get(key)
+        self.held[key] = part if have is None else merged(have, part)
+        if len(self.held) > HELD_SKELETONS:
+            self.flush()
+
+    def flush(self) -> dict[str, Part]:
+        for (host, _), part in sorted(self.held.items(), key=lambda x: (x[0][0], repr(x[0][1]))):
+            self.done[host] = merged(self.done[host], part) if host in self.done else part
+        self.held = {}
+        return self.done
+
+
 def infer(pages: list[str]) -> Part:
     """The wrapper of some pages of one host."""
-    wrapper = part_of(parse(pages[0]))
+    wrapper = page_part(pages[0])
     for page in pages[1:]:
-        wrapper = merged(wrapper, part_of(parse(page)))
+        wrapper = merged(wrapper, page_part(page))
     return wrapper
 
 
+class Known:
+    """What extraction needs of a wrapper: labels to align by, which slots are fixed, which soft-named parts vary."""
+
+    __slots__ = ("label", "fixed", "varies", "kids")
+
+    def __init__(self, v: list) -> None:
+        self.label, self.fixed, self.varies = v[0], v[1], v[2]
+        self.kids = [Known(k) for k in v[3]]
+
+
+def known(part: Part) -> list:
+    often = len(part.ids) >= LEAST_PAGES
+    fixed = next(iter(part.texts))[0] if often and part.label == "#text" and len(part.texts) == 1 else ""
+    varies = often and part.never == 1 and sum(map(_mass, part.kids)) > 0
+    kids = [] if part.never == 2 or part.tag == "h1" else [known(k) for k in part.kids]
+    return [part.label, fixed, varies, kids if any(k[1] or k[2] or k[3] for k in kids) else []]
+
+
+def _matched(part: Part, wrapper: Known, fixed: set, varying: set) -> None:
+    """Aligns a page with its host's wrapper; fixed slots weigh nothing afterwards."""
+    if wrapper.fixed and {x for x, _ in part.texts} == {wrapper.fixed}:
+        fixed.update(part.source)
+        part.chars = part.links = 0
+    if wrapper.varies:
+        varying.update(part.source)
+    if wrapper.kids:
+        for a, b in _aligned(part.kids, wrapper.kids):
+            if a is not None and b is not None:
+                _matched(a, b, fixed, varying)
+
+
 def _mass(part: Part) -> float:
     """Characters that are no link and that vary (or that only one page has shown), outside parts that are never article."""
     if part.never:
         return 0.0
     if part.label == "#text":
-        fixed = part.pages > 1 and len(part.texts) == 1
+        fixed = len(part.ids) > 1 and len(part.texts) == 1
         return 0.0 if fixed else part.chars - part.links
     return sum(map(_mass, part.kids))
 
@@ -304,14 +408,20 @@ def blocks(node: Node) -> list[str]:
     return ["".join(x) for x in out]
 
 
-def text_of(page: str, path: list[str] | None) -> str:
-    """The main text of a page whose host keeps articles at ``path``."""
+def text_of(page: str, path: list[str] | None, wrapper: Known | None = None) -> str:
+    """The main text of a page whose host keeps articles at ``path`` and has the ``wrapper``."""
     if not page:
         return ""
     root = parse(page)
-    nodes = _found(root, path) if path else []
+    fixed: set = set()
+    varying: set = set()
+    nodes, part = _found(root, path) if path else [], None
+    if not nodes or wrapper is not None and wrapper.kids:
+        part = part_of(root)
+        if wrapper is not None:
+            _matched(part, wrapper, fixed, varying)
     if not nodes:
-        nodes = _found(root, region(part_of(root)))
+        nodes = _found(root, region(part))
     clean = (_SPACE.sub(" ", html.unescape(b)).strip() for node in nodes for b in blocks(node))
     return " ".join(x for x in clean if x)
 
@@ -320,37 +430,57 @@ def host_of(url: str):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> DataFrame:
-    """``(host, pages, wrapper, path)``: for each host its expression, and where its articles are."""
-    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.coalesce(html_col, F.lit("")).alias("html"))
-    order = Window.partitionBy("host").orderBy(F.xxhash64("html"), "html")
-    # the rank is limited before rows are dealt by host, so a host gives at most this many for each task
-    sample = rows.where("html <> ''").withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_pages).drop("r")
+def wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", sample_pages: int | None = None) -> DataFrame:
+    """``(host, pages, wrapper, path, known)``: for each host its expression, where its articles are, and what pages are read by.
+
+    All pages form the wrapper; ``sample_pages`` limits them to those first by a hash.
+    """
+    rows = pages.select(host_of(F.col(url_col)).alias("host"), F.coalesce(html_col, F.lit("")).alias("html")).where("html <> ''")
+    if sample_pages is not None:
+        order = Window.partitionBy("host").orderBy(F.xxhash64("html"), "html")
+        # the rank is limited before rows are dealt by host, so a host gives at most this many for each task
+        rows = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_pages).drop("r")
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fold = Fold()
+        for b in batches:
+            for host, page in zip(b.column(0), b.column(1), strict=True):
+                fold.add(host.as_py(), page_part(page.as_py()))
+        for host, found in sorted(fold.flush().items()):
+            yield pa.RecordBatch.from_arrays([pa.array([host], pa.string()), pa.array([json.dumps(_packed(found))], pa.string())], names=["host", "part"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = infer(sorted(pdf["html"]))
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "pages": [len(pdf)], "wrapper": [found.notation()], "path": [json.dumps(region(found))]})
+        fold = Fold()
+        for x in sorted(pdf["part"]):
+            fold.add(pdf["host"].iloc[0], _unpacked(json.loads(x)))
+        found = fold.flush()[pdf["host"].iloc[0]]
+        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "pages": [found.pages], "wrapper": [found.notation()], "path": [json.dumps(region(found))], "known": [json.dumps(known(found))]})
 
-    return sample.groupBy("host").applyInPandas(run, "host string, pages long, wrapper string, path string")
+    parts = map_arrow(rows, part, T.StructType([T.StructField("host", T.StringType()), T.StructField("part", T.StringType())]))
+    return parts.groupBy("host").applyInPandas(run, "host string, pages long, wrapper string, path string, known string")
 
 
-def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", out: str = "text", sample_pages: int = SAMPLE_PAGES) -> DataFrame:
+def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", out: str = "text", sample_pages: int | None = None) -> DataFrame:
     """``pages`` with its main text in ``out`` in place of the html; a column of that name gives way."""
-    known = stage(wrappers(pages, url_col=url_col, html_col=html_col, sample_pages=sample_pages).select(F.col("host").alias("__host"), F.col("path").alias("__path")), "wrappers")
+    found = wrappers(pages, url_col=url_col, html_col=html_col, sample_pages=sample_pages)
+    by_host = stage(found.select(F.col("host").alias("__host"), F.concat_ws("\n", "path", "known").alias("__path")), "wrappers")
     keep = [c for c in pages.columns if c not in (html_col, out)]
     # the table's size is known from its files: the optimiser broadcasts it only below its limit
-    joined = pages.join(known, host_of(F.col(url_col)) == F.col("__host"), "left").select(*[F.col(f"`{c}`") for c in keep], "__path", F.col(html_col).alias("__html"))
+    joined = pages.join(by_host, host_of(F.col(url_col)) == F.col("__host"), "left").select(*[F.col(f"`{c}`") for c in keep], "__path", F.col(html_col).alias("__html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths: dict = {None: None}
+        paths: dict = {None: (None, None)}
         for b in batches:
             n = b.num_columns
             texts = []
             for path, page in zip(b.column(n - 2), b.column(n - 1), strict=True):
                 path = path.as_py()
                 if path not in paths:
-                    paths[path] = json.loads(path)
-                texts.append(text_of(page.as_py() or "", paths[path]))
+                    if len(paths) > 1000:
+                        paths = {None: (None, None)}
+                    at, wrapper = path.split("\n")
+                    paths[path] = json.loads(at), Known(json.loads(wrapper))
+                texts.append(text_of(page.as_py() or "", *paths[path]))
             yield pa.RecordBatch.from_arrays([*b.columns[: n - 2], pa.array(texts, pa.string())], names=[*keep, out])
 
     schema = T.StructType([*joined.schema.fields[:-2], T.StructField(out, T.StringType())])

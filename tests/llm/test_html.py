@@ -58,3 +58,15 @@ def test_query(spark, tiny):
     for r in q.collect():
         want = re.sub(r"<[^>]*>", " ", re.search("<article>(.*?)</article>", pages[r.page_id], re.S)[1])
         assert r.text == re.sub(r"\s+", " ", html.unescape(want)).strip() and r.n_chars == len(r.text)
+
+
+def test_every_page_of_a_host_forms_its_wrapper(spark):
+    """A rare template outside any small sample has its part, and long texts that begin alike differ."""
+    rows = [(k, "http://h.example/", PAGE.format(f"<article><p>text {k}</p></article>")) for k in range(60)]
+    rare = [(100 + k, "http://h.example/", f"<div class='site'>{'Everything about our site, as on each of its pages. ' * 9}</div><div class='body'><p>rare {k}</p></div>") for k in range(4)]
+    long = [(200 + k, "http://l.example/", f"<div class='top'>Hello</div><div class='post'>{'licence ' * 60}{k}</div>") for k in range(5)]
+    df = spark.createDataFrame(rows + rare + long, "page_id long, url string, html string").repartition(5)
+    assert {r.host: r.pages for r in H.wrappers(df).collect()} == {"h.example": 64, "l.example": 5}
+    got = {r.page_id: r.text for r in H.extract(df).collect()}
+    assert all(got[k] == f"text {k}" for k in range(60)) and [got[100 + k] for k in range(4)] == [f"rare {k}" for k in range(4)]
+    assert all(got[200 + k] == f"{'licence ' * 60}{k}" for k in range(5))
