@@ -11,9 +11,11 @@ that differ become slots.
 The wrapper's statistics say where a host keeps its articles: the element named so if
 there is one outside the parts that never are (menus, footers, forms, adverts, comments
 and so on), else the deepest one that has most of the text that varies from page to page
-and is no link.  Every page is then read through its host's wrapper; a page that has not
-got that element is read through a wrapper of its own, in which texts that never differ on
-LEAST_PAGES different pages of the host or more count for nothing.
+and is no link.  Every page is then aligned with its host's wrapper: blocks whose texts
+never differ on LEAST_PAGES different pages or more are left out (headings h1 stay, and a
+page that would be left empty is kept whole), and parts with a name of SOFT_NAMED stay
+where the wrapper shows text that varies.  A page that has not got the host's element is
+read through a wrapper of its own, in which the host's fixed texts count for nothing.
 
 Defined cases: null html counts as empty and gives the empty text; so does a page without
 text outside excluded parts.  A null or unreadable url belongs to the host "".  Broken
@@ -49,6 +51,7 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
 SELF_CLOSING = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "thead": ({"tr", "td", "th"}, {"table"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "tr", "td", "th"}, {"table"}), "body": ({"head"}, {"html"})}
 NEVER = frozenset("head nav header footer aside form script style noscript template button select textarea input iframe svg canvas object audio video dialog menu title".split())
 NEVER_NAMED = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription sidebar rail menu nav navbar navigation breadcrumb breadcrumbs header masthead topbar footer bottombar comment comments disqus replies respond share sharing social related recommended pagination pager widget widgets toolbar login signup search form copyright legal hidden".split())
+SOFT_NAMED = frozenset("notice notices notification alert form copyright legal related".split())  # also names of parts of articles
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 ARTICLES = frozenset(["article", "main"])
 
@@ -61,7 +64,7 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    """An element: its label, whether it can hold no article text (2), and children, which are nodes or texts."""
+    """An element: its label, whether it can hold no article text (2, or 1 if only by a name of SOFT_NAMED), and children, which are nodes or texts."""
 
     __slots__ = ("tag", "label", "never", "kids")
 
@@ -77,7 +80,7 @@ def _element(tag: str, attributes: str) -> Node:
         label += "".join("." + c for c in sorted(re.sub(r"\d+", "#", values.get("class", "")).split())[:4])
         if tag not in ("html", "body"):
             named = NEVER_NAMED.intersection(x.lower() for x in _NAME.findall(names))
-            never = 2 if named else never
+            never = max(never, 0 if not named else 1 if named <= SOFT_NAMED else 2)
         never = 2 if values.get("role", "").lower() in NEVER_ROLES or "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "").lower() else never
         if values.get("role", "").lower() == "main":
             label += "@main"
@@ -364,9 +367,9 @@ def region(wrapper: Part) -> list[str]:
 
     look(wrapper, [])
     if named:
-        # of nested ones the inner, unless it has less than half of the outer's text
+        # of nested ones the outer, unless what lies outside the inner one is fixed or excluded
         most = max(x for x, _ in named)
-        return max((p for x, p in named if x >= 0.5 * most), key=len)
+        return max((p for x, p in named if x >= most), key=len)
     path, at = [], wrapper
     while True:
         total = _mass(at)
@@ -386,26 +389,30 @@ def _found(root: Node, path: list[str]) -> list[Node]:
     return level
 
 
-def blocks(node: Node) -> list[str]:
-    """The texts of the blocks under an element, in page order, as they are in the source."""
+def blocks(node: Node, fixed: set | frozenset = frozenset(), varying: set | frozenset = frozenset()) -> list[str]:
+    """The texts of the blocks under an element, in page order, as they are in the source; without those of fixed texts alone."""
     out: list[list[str]] = [[]]
+    kept = [False]
 
     def walk(x: Node) -> None:
-        for kid in x.kids:
+        for i, kid in enumerate(x.kids):
             if not isinstance(kid, Node):
                 out[-1].append(kid)
+                kept[-1] = kept[-1] or not kid.isspace() and (id(x), i) not in fixed
             elif kid.tag == "br":
                 out[-1].append(" ")
-            elif not kid.never:
+            elif not kid.never or id(kid) in varying:
                 if kid.tag in INLINE:
                     walk(kid)
                 else:
                     out.append([])
+                    kept.append(False)
                     walk(kid)
                     out.append([])
+                    kept.append(False)
 
     walk(node)
-    return ["".join(x) for x in out]
+    return ["".join(x) for x, keep in zip(out, kept, strict=True) if keep]
 
 
 def text_of(page: str, path: list[str] | None, wrapper: Known | None = None) -> str:
@@ -422,8 +429,12 @@ def text_of(page: str, path: list[str] | None, wrapper: Known | None = None) ->
             _matched(part, wrapper, fixed, varying)
     if not nodes:
         nodes = _found(root, region(part))
-    clean = (_SPACE.sub(" ", html.unescape(b)).strip() for node in nodes for b in blocks(node))
-    return " ".join(x for x in clean if x)
+
+    def said(fixed: set) -> str:
+        clean = (_SPACE.sub(" ", html.unescape(b)).strip() for node in nodes for b in blocks(node, fixed, varying))
+        return " ".join(x for x in clean if x)
+
+    return said(fixed) or said(set())
 
 
 def host_of(url: str):

@@ -70,3 +70,10 @@ def test_every_page_of_a_host_forms_its_wrapper(spark):
     got = {r.page_id: r.text for r in H.extract(df).collect()}
     assert all(got[k] == f"text {k}" for k in range(60)) and [got[100 + k] for k in range(4)] == [f"rare {k}" for k in range(4)]
     assert all(got[200 + k] == f"{'licence ' * 60}{k}" for k in range(5))
+
+
+def test_pages_are_read_by_their_wrapper(spark):
+    body = "<main><h1>Title {0}</h1><article><p class='lead'>By our own staff, all rights reserved</p><p>one {0}</p><p>two {0}</p><p class='notice'>Mind the gap {0}</p><p class='copyright'>All rights</p></article></main>"
+    df = spark.createDataFrame([(k, "http://h.example/", body.format(k)) for k in range(6)], "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in H.extract(df).collect()}
+    assert got == {k: f"Title {k} one {k} two {k} Mind the gap {k}" for k in range(6)}
