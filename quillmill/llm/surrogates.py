@@ -1,10 +1,10 @@
 """PII surrogates: detected entities are replaced by keyed, type-consistent stand-ins.
 
 Only DataFrame functions are used.  One regular expression finds e-mail addresses,
-telephone numbers, IP addresses, card and account numbers, secrets and titled names.
+telephone numbers, IP addresses of both versions, card and account numbers, secrets and titled names.
 Each distinct entity of the corpus gets one surrogate, a keyed hash spelled in the
 entity's own format: letters stay letters of the same case and script, digits digits,
-separators as they were; octets stay octets; a number that passes Luhn's test keeps
+separators as they were; octets stay octets, and an address of version 6 becomes a full one; a number that passes Luhn's test keeps
 passing it; the title, and with it the gender, of a name decides how the new given name
 ends.  The parts of a name are entities of their own, so that "Frau Anna Berg" and
 "Frau Berg" go on meaning one person.
@@ -29,20 +29,26 @@ from pyspark.sql import functions as F
 from quillmill.llm.flat import fresh
 from quillmill.staging import drop, stage
 
-# The shapes that count as personal.  Every repetition is bounded, so that no text takes quadratic time.
-EMAIL = r"[\p{L}\p{N}._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){1,8}"
+# The shapes that count as personal.  Open-ended repetitions are possessive and begin where a run of
+# their characters does (or a match has ended, \G), so that no text takes quadratic time.
+EMAIL = r"(?:\G|(?<![\p{L}\p{N}._%+\-]))[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++){1,126}"
 PHONE = r"(?<![\d+])\+?\d{1,3}[ .\-]?\(\d{2,4}\)[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .\-]\d{2,4}){2,4}(?!\d)|(?<![\d\-])\d{3}-\d{3}-\d{4}(?![\d\-])"
+PHONE += r"|(?<![\d+])\+[1-9]\d{6,14}(?!\d)|(?<![\d+])\+\d{1,3}[ .\-]?\(?\d{1,5}\)?(?:[ .\-]\d{2,8}){1,4}(?!\d)|(?<![\p{L}\p{N}])\(\d{2,5}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)"
+PHONE += r"|(?<![\d.,\-])(?:\d{3}\.\d{3}\.\d{4}|(?<!\d )\d{3} \d{3} \d{4}|0\d(?:[ .\-]\d\d){4}|0\d{2,4} \d{3,4} \d{3,4}|0\d{2,4}[ /\-]\d{6,8})(?![\d\-]|[.,]\d)"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\d)"
-HEX = r"(?<![\p{L}\p{N}])(?=[a-fA-F]{0,63}\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])"
-SECRET = r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|gh[opsur]_[A-Za-z0-9]{36,80}|sk-[A-Za-z0-9_\-]{20,80}|xox[abprs]-[A-Za-z0-9\-]{10,80}|AIza[A-Za-z0-9_\-]{35})(?![\p{L}\p{N}])"
+_GROUP = "[0-9A-Fa-f]{1,4}"
+IPV6 = rf"(?<![\p{{L}}\p{{N}}:.])(?=[A-Fa-f:]*+\d)(?:(?:{_GROUP}:){{7}}{_GROUP}|(?:{_GROUP}:){{1,7}}:(?:{_GROUP}(?::{_GROUP}){{0,5}})?|::{_GROUP}(?::{_GROUP}){{0,6}})(?![\p{{L}}\p{{N}}:])"
+HEX = r"(?<![\p{L}\p{N}])(?=[a-fA-F]*+\d)(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![\p{L}\p{N}])"
+SECRET_PREFIX = r"(?:AKIA|gh[opsur]_|github_pat_|sk-|xox[abprs]-|AIza)"
+SECRET = r"(?<![\p{L}\p{N}])(?:(?:AKIA[0-9A-Z]{16}|AIza[A-Za-z0-9_\-]{35})(?![\p{L}\p{N}])|gh[opsur]_[A-Za-z0-9]{36,}+|github_pat_[A-Za-z0-9_]{22,}+|sk-[A-Za-z0-9_\-]{20,}+|xox[abprs]-[A-Za-z0-9\-]{10,}+)"
 IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?(?=[A-Z0-9]{0,3}\d)[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
-CARD = r"(?<!\d)(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7})(?!\d)"
+CARD = r"(?<!\d)(?:\d{13,19}|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{5})(?!\d)"
 FEMALE_TITLES = "Mrs|Ms|Miss|Frau|Señora|Señorita|Sra|Srta|Madame|Mademoiselle|Mme|Mlle|Госпожа"
 MALE_TITLES = "Mr|Herr|Señor|Monsieur|Господин"
 PERSON = rf"(?<![\p{{L}}\p{{N}}])(?:{FEMALE_TITLES}|{MALE_TITLES})\.? \p{{Lu}}[\p{{L}}'’\-]{{1,40}}(?: \p{{Lu}}[\p{{L}}'’\-]{{1,40}}){{0,2}}"
-ANY = "|".join((EMAIL, PHONE, IP, HEX, SECRET, IBAN, SSN, CARD, PERSON))
-HINT = rf"[0-9@]|(?:{FEMALE_TITLES}|{MALE_TITLES})\.? \p{{Lu}}"  # every entity has one of these
+ANY = "|".join((EMAIL, PHONE, IP, IPV6, HEX, SECRET, IBAN, SSN, CARD, PERSON))
+HINT = rf"[0-9@]|{SECRET_PREFIX}|(?:{FEMALE_TITLES}|{MALE_TITLES})\.? \p{{Lu}}"  # every entity has one of these
 
 DIGITS, LATIN, GREEK, CYRILLIC = "0123456789", "abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщыэюя"
 SYLLABLES = {"latin": ["ba", "den", "ki", "lor", "ma", "nel", "ri", "sa", "tor", "vel", "mi", "jo", "ha", "per", "li", "gun"], "cyrillic": ["ба", "ден", "ки", "лор", "ма", "нел", "ри", "са", "тор", "вел", "ми", "ге", "ха", "пер", "ли", "гун"], "greek": ["βα", "δεν", "κι", "λορ", "μα", "νελ", "ρι", "σα", "τορ", "βελ", "μι", "γε", "χα", "περ", "λι", "γουν"]}
@@ -56,8 +62,8 @@ def _whole(pattern: str) -> str:
 def kind(m: Column) -> Column:
     """What a match is; tried in the order in which the alternatives are."""
     c = F.when(m.rlike(r"^[^ ]*@"), "email").when(m.rlike(rf"^(?:{FEMALE_TITLES}|{MALE_TITLES})\.? \p{{Lu}}"), "person")
-    c = c.when(m.rlike(_whole(IP)), "ip").when(m.rlike(_whole(r"[0-9a-f]{32,128}|[0-9A-F]{32,128}")), "hex")
-    c = c.when(m.rlike(r"^(?:AKIA|gh[opsur]_|sk-|xox[abprs]-|AIza)"), "secret").when(m.rlike(_whole(IBAN)), "iban").when(m.rlike(_whole(SSN)), "ssn")
+    c = c.when(m.rlike(_whole(IP)), "ip").when(m.rlike(_whole(IPV6)), "ipv6").when(m.rlike(_whole(r"[0-9a-f]{32,}+|[0-9A-F]{32,}+")), "hex")
+    c = c.when(m.rlike(rf"^{SECRET_PREFIX}"), "secret").when(m.rlike(_whole(IBAN)), "iban").when(m.rlike(_whole(SSN)), "ssn")
     return c.when(m.rlike(_whole(CARD)), "card").otherwise("phone")
 
 
@@ -90,14 +96,16 @@ def _spelled(s: Column, h: Column, keep: Column | int = 0, digits: str = DIGITS,
     """``s`` with every letter and digit after the first ``keep`` drawn anew within its class."""
     keep = F.lit(keep) if isinstance(keep, int) else keep
 
-    def one(i: Column) -> Column:
-        c, v = F.substr(s, i, F.lit(1)), _byte(h, i)
-        out = F.when(i <= keep, c).when(c.rlike("[0-9]"), _pick(digits, v)).when(c.rlike("[a-z]"), _pick(lower, v)).when(c.rlike("[A-Z]"), _pick(lower.upper(), v))
+    def one(c: Column, i: Column, fixed: Column) -> Column:
+        v = _byte(fixed["h"], i)
+        out = F.when(i <= fixed["keep"], c).when(c.rlike("[0-9]"), _pick(digits, v)).when(c.rlike("[a-z]"), _pick(lower, v)).when(c.rlike("[A-Z]"), _pick(lower.upper(), v))
         for script, alphabet in (("IsCyrillic", CYRILLIC), ("IsGreek", GREEK), ("L", LATIN)):
             out = out.when(c.rlike(rf"\p{{{script}}}"), F.when(c == F.lower(c), _pick(alphabet, v)).otherwise(_pick(alphabet.upper(), v)))
         return out.otherwise(c)
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(s)), one), "")
+    # bound once: else each character would hash the whole entity anew
+    once = F.array(F.struct(h.alias("h"), keep.alias("keep")))
+    return F.element_at(F.transform(once, lambda fixed: F.array_join(F.transform(F.split(s, ""), lambda c, i: one(c, i + 1, fixed)), "")), 1)
 
 
 def _luhn(s: Column) -> Column:
@@ -138,10 +146,11 @@ def surrogate(key: Column, attempt: Column, secret: str) -> Column:
     stem = F.substr(domain, F.lit(1), F.length(domain) - F.length(F.substring_index(domain, ".", -1)))
     email = F.concat(_spelled(local, h), F.lit("@"), _spelled(stem, F.sha2(h, 512)), F.substring_index(domain, ".", -1))
     ip = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.pmod(_byte(h, i), F.lit(254)).cast("int") + 1), ".")
-    country = F.when(s.startswith("+"), F.length(F.regexp_extract(s, r"^\+\d{1,3}", 0))).otherwise(0)
-    prefix = F.length(F.regexp_extract(s, r"^(?:AKIA|gh[opsur]_|sk-|xox[abprs]-|AIza)", 0))
+    country = F.when(s.startswith("+"), F.length(F.regexp_extract(s, r"^\+(?:\d{1,3}(?!\d)|\d)", 0))).otherwise(0)
+    prefix = F.length(F.regexp_extract(s, rf"^{SECRET_PREFIX}", 0))
     hexa = F.when(F.upper(s) == s, _spelled(s, h, 0, "0123456789ABCDEF", "abcdef")).otherwise(_spelled(s, h, 0, DIGITS, "abcdef"))
-    out = F.when(k == "email", email).when(k == "ip", ip).when(k == "hex", hexa).when(k == "secret", _spelled(s, h, prefix))
+    ipv6 = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substr(h, i * 4 + 1, F.lit(4))), ":")
+    out = F.when(k == "email", email).when(k == "ip", ip).when(k == "ipv6", F.when(s.rlike("[A-F]"), F.upper(ipv6)).otherwise(ipv6)).when(k == "hex", hexa).when(k == "secret", _spelled(s, h, prefix))
     out = out.when(k == "iban", _spelled(s, h, 2)).when(k == "card", _card(s, h)).when(k == "phone", _spelled(s, h, country)).when(k == "ssn", _spelled(s, h))
     for role in ("female", "male", "family"):
         out = out.when(k == role, _name(s, h, role, attempt))

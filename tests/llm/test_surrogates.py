@@ -69,6 +69,34 @@ def test_long_texts_take_no_quadratic_time(spark, make):
     assert S.replace(spark.createDataFrame([(make(),)], "text string")).count() == 1
 
 
+WHOLE = ["sk-proj-" + "aB3_" * 40, "ghp_" + "a1B2" * 30, "xoxb-" + "1a-B" * 40, "github_pat_11ABCDEFG0" + "x9_Y" * 15, "0f3a" * 50, "a" * 70 + "7" * 130, "x" * 90 + "1@mail.example.com", "q@" + "b." * 30 + "com"]
+WHOLE += ["(415) 555-2671", "415.555.2671", "415 555 2671", "+14155552671", "+49 30 1234567", "+33 6 12 34 56 78", "06 12 34 56 78", "(030) 1234567", "020 7946 0958"]
+WHOLE += ["2001:db8::ff00:42:8329", "fe80::1", "::1", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "3782 822463 10005"]
+
+
+def test_entities_are_found_whole_in_any_length_and_form(spark):
+    rows = [(k, f"so {x}, then") for k, x in enumerate(WHOLE)]
+    for r in S.replace(spark.createDataFrame(rows, "k int, text string")).collect():
+        assert r.n_entities == 1 and r.text.startswith("so ") and r.text.endswith(", then") and WHOLE[r.k] not in r.text, (WHOLE[r.k], r.text)
+        if ":" not in WHOLE[r.k]:
+            assert len(r.text) == len(WHOLE[r.k]) + 9
+
+
+def test_keys_before_other_letters_and_addresses_in_a_row(spark):
+    rows = [("sk-" + "ab1" * 20 + "是",), ("a1@b.com_c2@d.com",), ("sk-" + "abcde" * 6,)]
+    assert [r.n_entities for r in S.replace(spark.createDataFrame(rows, "text string")).collect()] == [1, 2, 1]
+
+
+@pytest.mark.parametrize("text", ["std::vector a::b 10:30:15", "1 234 567 8901", "1.234.567.8901", "12:30:45:10", "sk-short ghp_short", "3 + 4 = 7, +5 000"])
+def test_other_forms_stay(spark, text):
+    assert S.replace(spark.createDataFrame([(text,)], "text string")).first().text == text
+
+
+@pytest.mark.parametrize("make", [lambda: "a" * 300_000, lambda: "sk-" * 100_000, lambda: "a@" + "b." * 100_000, lambda: "f" * 300_000, lambda: "a:" * 100_000, lambda: "é1" * 150_000])
+def test_open_ends_take_no_quadratic_time(spark, make):
+    assert S.replace(spark.createDataFrame([(make(),)], "text string")).count() == 1
+
+
 def test_empty(empty):
     assert S.replace(empty).count() == 0
 
