@@ -14,6 +14,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+FILES_A_CORE = 4
+FILE_BYTES = 8 << 20
+
 _written: list[tuple[SparkSession, str]] = []
 _own_root: list[str] = []
 
@@ -38,11 +41,23 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def most_files(df: DataFrame) -> int:
+    """How many files a staged table is given at most.
+
+    Four for each core, or one for each FILE_BYTES of the files that its plan reads,
+    whichever is more.  Thousands of partitions that hold next to nothing so become few
+    files, and a table that grows with the input keeps its partitions.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    read = sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    return min(max(FILES_A_CORE * df.sparkSession.sparkContext.defaultParallelism, read // FILE_BYTES), (1 << 31) - 1)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and returns it read back."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.coalesce(most_files(df)).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out

@@ -32,3 +32,14 @@ def test_tables_are_written_read_and_removed(spark):
     assert os.path.isdir(local)
     staging.drop(df, spark.range(1))
     assert not os.path.exists(local) and all(p != path for _, p in staging._written)
+
+
+def test_small_tables_become_few_files(spark):
+    few = staging.FILES_A_CORE * spark.sparkContext.defaultParallelism
+    base = staging.stage(spark.range(500), "base")
+    df = staging.stage(base.repartition(100), "many")
+    assert df.count() == 500 and staging.most_files(base) == few
+    assert len([x for x in os.listdir(df._staged_path.removeprefix("file://")) if x.endswith(".parquet")]) <= few
+    # what is not read from files has no size: its partitions stay
+    assert staging.most_files(spark.createDataFrame([(1,)], "a int")) > few
+    staging.drop(base, df)
