@@ -1,17 +1,17 @@
 """Exact dedup by content sort.
 
-Rows are dealt by range: Spark samples splitters over (the first bytes of the
-normalised text, its SHA-256, the id), and each partition is sorted externally
-by the same key and then the whole normalised text, so that equal texts are
-neighbours.  A pass over each sorted partition compares every text with the one
-before it in full.  The id in the range key lets a group of copies, however large,
-spread over as many partitions as its share asks for; a run of equal texts that is
-cut by a partition's border is joined again from one row per cut, of which there are
-at most two for each partition.
-
-The hash decides only which of the texts with the same first bytes come first.  It
-never decides that two texts are equal within a partition; across a border, where
-the texts lie with two tasks, it does.
+Rows are dealt by range: Spark samples splitters over (the first characters of the
+normalised text, a 64-bit hash of it, the id), and each partition is sorted externally by
+prefix, hash, the whole normalised text and the id, so that equal texts are neighbours.
+A pass over each sorted partition compares every text with the one before it in full.
+The id in the range key lets a group of copies, however large, spread over as many
+partitions as its share asks for.
+
+A run of equal texts may be cut by a partition's border.  Runs under the first or the
+last hash of a partition are open; one row of each comes with its text, and open runs of
+one text, told by the whole text again, are joined.  There are two open runs for each
+partition, and one more only where different texts share a hash.  So no hash ever decides
+that two texts are equal: it decides which of those with the same prefix come first.
 
 Defined cases: null counts as the empty text and all empty texts are one group.  A
 null id is worse than any other, whichever end is kept.  Among rows that tie on id
@@ -21,6 +21,7 @@ their names, can be joined on again by id.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ from quillmill.staging import stage
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PREFIX = 48
-RUNS = "id long, part int, run int, keep_id long, n long, kept boolean, sha string, first boolean, last boolean"
+RUNS = "id long, part int, run int, keep_id long, n long, kept boolean, sha string, text binary"
 
 
 def ascii_lower(c: Column) -> Column:
@@ -42,74 +43,111 @@ def ascii_lower(c: Column) -> Column:
     return F.coalesce(F.translate(c, _UPPER, _LOWER), F.lit(""))
 
 
-def _fresh(before: bytes | None, column: pa.Array, lower: bool) -> tuple[list[bool], bytes | None]:
-    """Of each text of a batch whether it differs from the one before it; and the last text."""
-    new: list[bool] = []
-    for _, raw, at in slices(column, 4 << 20):
+def _texts(column: pa.Array, lower: bool = False) -> Iterator[bytes]:
+    """The texts of a batch one by one, as bytes."""
+    for _, raw, at in slices(column):
         whole = raw.tobytes()
         if lower:
             whole = whole.lower()
         for k in range(len(at) - 1):
-            text = whole[at[k] : at[k + 1]]
-            new.append(text != before)
-            before = text
-    return new, before
+            yield whole[at[k] : at[k + 1]]
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted partition: (id, text, sha, part) -> RUNS.  Holds one text, and the ids and hashes of one batch and one run."""
-    run, before, part = -1, None, 0
-    ids: list = []
-    runs: list[int] = []
-    shas: list[str] = []
-
-    def out(upto: int, last: int) -> pa.RecordBatch:
-        r = np.array(runs[:upto], np.int64)
+class _Held:
+    """Rows of the latest hash of a sorted partition, and of what the batch has before it, until they can be returned."""
+
+    def __init__(self) -> None:
+        self.ids: list = []
+        self.runs: list[int] = []
+        self.marks: list[int] = []
+        self.shas: dict[int, str] = {}
+        self.open: dict[int, bytes] = {}  # texts of the runs under the partition's first hash
+        self.late: dict[int, bytes] = {}  # and under the latest
+
+    def returned(self, upto: int, part: int) -> pa.RecordBatch:
+        """The first ``upto`` rows, as RUNS; texts of open runs come with their first row."""
+        r = np.array(self.runs[:upto], np.int64)
         starts = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
         sizes = np.diff(np.r_[starts, len(r)])
-        known = [next((x for x in ids[s : s + n] if x is not None), None) for s, n in zip(starts, sizes, strict=True)]
-        keep = pa.array(known, pa.int64()).take(pa.array(np.repeat(np.arange(len(starts)), sizes)))
         kept = np.zeros(len(r), bool)
         kept[starts] = True
-        cols = [pa.array(ids[:upto], pa.int64()), pa.array(np.full(len(r), part, np.int32)), pa.array(r.astype(np.int32)), keep, pa.array(np.repeat(sizes, sizes)), pa.array(kept), pa.array(shas[:upto], pa.string()), pa.array(r == 0), pa.array(r == last)]
-        del ids[:upto], runs[:upto], shas[:upto]
-        return pa.RecordBatch.from_arrays(cols, names=["id", "part", "run", "keep_id", "n", "kept", "sha", "first", "last"])
+        texts: list = [None] * len(r)
+        for s in starts:
+            texts[s] = self.open.pop(int(r[s]), None)
+        # ids are in order with nulls last: the first of a run is the one that stays
+        keep = pa.array([self.ids[s] for s in starts], pa.int64()).take(pa.array(np.repeat(np.arange(len(starts)), sizes)))
+        shas = pa.array([self.shas.pop(int(r[s])) for s in starts], pa.string()).take(pa.array(np.repeat(np.arange(len(starts)), sizes)))
+        cols = [pa.array(self.ids[:upto], pa.int64()), pa.array(np.full(len(r), part, np.int32)), pa.array(r.astype(np.int32)), keep]
+        cols += [pa.array(np.repeat(sizes, sizes)), pa.array(kept), shas, pa.array(texts, pa.binary())]
+        del self.ids[:upto], self.runs[:upto], self.marks[:upto]
+        return pa.RecordBatch.from_arrays(cols, names=["id", "part", "run", "keep_id", "n", "kept", "sha", "text"])
+
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a sorted partition: (id, text, hash, part) -> RUNS.  Holds one batch, and the ids and one text of each run under one hash."""
+    held, run, before, lead, part = _Held(), -1, None, None, 0
     for b in batches:
         if not b.num_rows:
             continue
-        part = b.column(3)[0].as_py()
-        new, before = _fresh(before, b.column(1), False)
-        for fresh in new:
-            run += fresh
-            runs.append(run)
-        ids += b.column(0).to_pylist()
-        shas += b.column(2).to_pylist()
-        ended = len(runs) if runs[0] == run else runs.index(run)
-        if runs[0] != run and ended >= 4096:
-            yield out(ended, -1)
-    if runs:
-        yield out(len(runs), run)
+        part, marks = b.column(3)[0].as_py(), b.column(2).to_pylist()
+        lead = marks[0] if lead is None else lead
+        held.ids += b.column(0).to_pylist()
+        for text, mark in zip(_texts(b.column(1)), marks, strict=True):
+            if held.marks and mark != held.marks[-1]:
+                held.late = {}
+            if text != before:
+                run, before = run + 1, text
+                held.shas[run] = hashlib.sha256(text).hexdigest()
+                held.late[run] = text
+                if mark == lead:
+                    held.open[run] = text
+            held.runs.append(run)
+            held.marks.append(mark)
+        ended = held.marks.index(marks[-1])  # the latest hash may go on
+        if ended >= 4096:
+            yield held.returned(ended, part)
+    if held.marks:
+        last = held.marks.index(held.marks[-1])
+        if last:
+            yield held.returned(last, part)
+        held.open = dict(held.late)
+        yield held.returned(len(held.marks), part)
 
 
 def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted partition with (..., text, sha, part): the first of each run, and whether it is the partition's first; the last row comes too, marked."""
-    before, count, end = None, 0, None
+    """Rows of a sorted partition with (..., text, hash, part): the first of each run, its number, and whether the run is open."""
+    before, run, lead, waiting = None, -1, None, None
+
+    def out(rows: pa.RecordBatch | pa.Table, ended: bool) -> Iterator[pa.RecordBatch]:
+        marks = rows.column(rows.num_columns - 2).to_numpy(zero_copy_only=False) if isinstance(rows, pa.RecordBatch) else rows.column(rows.num_columns - 2).to_numpy()
+        rows = rows.append_column("__open", pa.array(marks == lead if ended else np.ones(len(marks), bool)))
+        yield from rows.to_batches() if isinstance(rows, pa.Table) else [rows]
+
     for b in batches:
         if not b.num_rows:
             continue
         k = b.num_columns
-        new, before = _fresh(before, b.column(k - 3), True)
+        new = []
+        for text in _texts(b.column(k - 3), lower=True):
+            new.append(text != before)
+            before = text
         mask = np.array(new)
-        order = np.cumsum(mask) + count
-        count = int(order[-1])
-        extra = pa.array(order[mask] == 1)
-        kept = b.filter(pa.array(mask))
-        yield pa.RecordBatch.from_arrays([*kept.columns, extra, pa.array(np.zeros(kept.num_rows, bool))], names=[*b.schema.names, "__lead", "__end"])
-        end = b.slice(b.num_rows - 1)
-    if end is not None:
-        bare = [pa.nulls(1, c.type) if k < end.num_columns - 2 else c for k, c in enumerate(end.columns)]
-        yield pa.RecordBatch.from_arrays([*bare, pa.array([False]), pa.array([True])], names=[*end.schema.names, "__lead", "__end"])
+        marks = b.column(k - 2).to_numpy()
+        lead = marks[0] if lead is None else lead
+        numbers = run + np.cumsum(mask)
+        run = int(numbers[-1])
+        kept = b.append_column("__run", pa.array(numbers.astype(np.int32))).select([*range(k - 2), k, k - 2, k - 1]).filter(pa.array(mask))
+        late = marks[mask] == marks[-1]
+        if waiting is not None and waiting.column(k - 1)[0].as_py() != marks[-1]:
+            yield from out(waiting, True)
+            waiting = None
+        if not late.all():
+            yield from out(kept.filter(pa.array(~late)), True)
+        if late.any():
+            rows = pa.Table.from_batches([kept.filter(pa.array(late))])
+            waiting = rows if waiting is None else pa.concat_tables([waiting, rows])
+    if waiting is not None:
+        yield from out(waiting, False)
 
 
 def _by_id(column: str, keep: str) -> Column:
@@ -125,15 +163,16 @@ def groups(docs: DataFrame, *, keep: str = "min", id_col: str = "doc_id", text_c
     """
     by_id = _by_id("id", keep)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), ascii_lower(F.col(text_col)).alias("norm"))
-    rows = rows.select("id", "norm", F.substring("norm", 1, PREFIX).alias("pre"), F.sha2("norm", 256).alias("sha"))
+    rows = rows.select("id", "norm", F.substring("norm", 1, PREFIX).alias("pre"), F.xxhash64("norm").alias("h"))
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, "pre", "sha", by_id).sortWithinPartitions("pre", "sha", "norm", by_id)
-    runs = stage(dealt.select("id", "norm", "sha", F.spark_partition_id().alias("part")).mapInArrow(_runs, RUNS), "runs")
-    # One row for each run that touches a border: at most two for each partition, so a broadcast is bounded by their number.
+    dealt = rows.repartitionByRange(n, "pre", "h", by_id).sortWithinPartitions("pre", "h", "norm", by_id)
+    runs = stage(dealt.select("id", "norm", "h", F.spark_partition_id().alias("part")).mapInArrow(_runs, RUNS), "runs")
+    # At most two rows for each partition, but for texts that share a hash: a broadcast is bounded by their number.
     pick = F.min if keep == "min" else F.max
-    cut = runs.where("(first OR last) AND kept")
-    whole = cut.groupBy("sha").agg(pick("keep_id").alias("all_keep"), F.sum("n").alias("all_n"), F.min("part").alias("lead"), F.count("*").alias("pieces")).where("pieces > 1").drop("pieces")
-    wide = runs.join(F.broadcast(whole), "sha", "left")
+    open_ = runs.where("text IS NOT NULL").groupBy("text")
+    whole = open_.agg(pick("keep_id").alias("all_keep"), F.sum("n").alias("all_n"), F.min("part").alias("lead"), F.collect_list(F.struct("part", "run")).alias("pieces"))
+    whole = whole.where("size(pieces) > 1").select("all_keep", "all_n", "lead", F.inline("pieces"))
+    wide = runs.drop("text").join(F.broadcast(whole), ["part", "run"], "left")
     return wide.select(
         "id",
         F.coalesce("all_keep", "keep_id").alias("keep_id"),
@@ -149,18 +188,20 @@ def keep_one(docs: DataFrame, *, keep: str = "min", id_col: str = "doc_id", text
     names = docs.columns
     by_id = _by_id("__id", keep)
     norm = ascii_lower(F.col("__text"))
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    rows = rows.withColumns({"__pre": F.substring(norm, 1, PREFIX), "__sha": F.sha2(norm, 256)})
     at = names.index(text_col)
-    rows = rows.drop(f"c{at}")
+    own = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names) if k != at]
+    rows = docs.select(*own, F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    rows = rows.withColumns({"__pre": F.substring(norm, 1, PREFIX), "__h": F.xxhash64(norm)})
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, "__pre", "__sha", by_id).sortWithinPartitions("__pre", "__sha", norm, by_id)
-    source = dealt.select(*[f"c{k}" for k in range(len(names)) if k != at], "__text", "__sha", F.spark_partition_id().alias("__part"))
-    schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in source.schema.fields], T.StructField("__lead", T.BooleanType()), T.StructField("__end", T.BooleanType())])
-    firsts = stage(source.mapInArrow(_firsts, schema), "firsts")
-    # A run that goes on from an earlier partition leads its own: at most one for each partition.
-    parts = firsts.where("__lead OR __end").groupBy("__sha").agg(F.min("__part").alias("__from"), F.count("*").alias("__n")).where("__n > 1").drop("__n")
-    kept = firsts.where("NOT __end").join(F.broadcast(parts), "__sha", "left").where("NOT __lead OR __from IS NULL OR __part = __from")
+    dealt = rows.repartitionByRange(n, "__pre", "__h", by_id).sortWithinPartitions("__pre", "__h", norm, by_id)
+    source = dealt.select(*[f"c{k}" for k in range(len(names)) if k != at], "__text", "__h", F.spark_partition_id().alias("__part"))
+    fields = [T.StructField(f.name, f.dataType, True) for f in source.schema.fields]
+    marks = [T.StructField("__run", T.IntegerType()), *fields[-2:], T.StructField("__open", T.BooleanType())]
+    firsts = stage(source.mapInArrow(_firsts, T.StructType([*fields[:-2], *marks])), "firsts")
+    # Open runs of one text, told by the whole text: all pieces but the first go.  At most two rows for each partition.
+    pieces = firsts.where("__open").groupBy(ascii_lower(F.col("__text"))).agg(F.array_sort(F.collect_list(F.struct("__part", "__run"))).alias("p"))
+    lost = pieces.where("size(p) > 1").select(F.inline(F.slice("p", F.lit(2), F.size("p"))))
+    kept = firsts.join(F.broadcast(lost), ["__part", "__run"], "left_anti")
     return kept.select(*[F.col("__text" if k == at else f"c{k}").alias(c) for k, c in enumerate(names)])
 
 

@@ -50,3 +50,21 @@ def test_empty(empty):
 def test_bad_end(empty):
     with pytest.raises(ValueError):
         X.groups(empty, keep="first")
+
+
+def _batches(rows, names):
+    import pyarrow as pa
+
+    kinds = {"id": pa.int64(), "text": pa.string(), "h": pa.int64(), "part": pa.int32()}
+    for k in range(0, len(rows), 3):
+        yield pa.RecordBatch.from_arrays([pa.array(c, kinds[n]) for c, n in zip(zip(*rows[k : k + 3], strict=True), names, strict=True)], names=names)
+
+
+def test_texts_that_share_a_hash_are_told_apart():
+    """Sorted partitions as the hash would give them if it were the same for different texts."""
+    rows = [(1, "a", 5, 0), (2, "a", 5, 0), (3, "b", 5, 0), (4, "c", 7, 0), (4, "c", 7, 0), (9, "d", 8, 0), (1, "x", 9, 0), (2, "y", 9, 0), (None, "y", 9, 0)]
+    got = [r for b in X._runs(_batches(rows, ["id", "text", "h", "part"])) for r in b.to_pylist()]
+    assert [(r["id"], r["keep_id"], r["n"], r["kept"]) for r in got] == [(1, 1, 2, True), (2, 1, 2, False), (3, 3, 1, True), (4, 4, 2, True), (4, 4, 2, False), (9, 9, 1, True), (1, 1, 1, True), (2, 2, 2, True), (None, 2, 2, False)]
+    assert [r["text"] for r in got] == [b"a", None, b"b", None, None, None, b"x", b"y", None]
+    firsts = [r for b in X._firsts(_batches(rows, ["id", "text", "h", "part"])) for r in b.to_pylist()]
+    assert [(r["id"], r["__run"], r["__open"]) for r in firsts] == [(1, 0, True), (3, 1, True), (4, 2, False), (9, 3, False), (1, 4, True), (2, 5, True)]
