@@ -1,34 +1,41 @@
 """MinHash near-dedup by a signature-coordinate inverted join.
 
-1. Each text becomes its set of word shingles, a fingerprint of the set, and a MinHash
-   signature.  Texts with equal sets form a class; from here on one member stands for it.
+1. Each text becomes its set of word shingles and a MinHash signature.  Texts with equal
+   sets form a class; from here on one member stands for it.
 2. A class is posted under each (coordinate, value) pair of its signature.  Pairs that
    only one class has can't be shared, and a class with fewer shared pairs than the match
    threshold has no partner: both go at once.
 3. Prefix: of its pairs in the order of their frequency, rarest first, a class keeps the
-   first ``K - threshold + 1``.  Two classes that agree in ``threshold`` coordinates share
-   one of these, whatever else they share.  What many texts have in common (a licence
-   line, say) is frequent and so falls outside the prefix.
-4. Classes that share a prefix pair, directly or through others, form a family, found by
-   linking each member of a list to the list's least one.  A family has each class once,
-   however many lists it is in.
-5. Within a family, collisions of the signatures are counted for the pairs that are not
-   connected yet (skip merging); those at or above the threshold are confirmed on the full
-   sets.  A family larger than a block is dealt to tasks as pairs of blocks, so that no
-   task holds more than two.  Only links that connect something are returned, so there
-   are fewer links than classes, and never all pairs of a group.
+   first ``K - threshold + 1``.  Two classes that agree in ``threshold`` coordinates meet in
+   the list of one of these, whatever else they share.  What many texts have in common (a
+   licence line, say) is frequent and so falls outside the prefix.
+4. Inverted join, first merge: each list is joined with its hub, the member whose pairs
+   are the most frequent, which in a group of edited copies is what they were copied from.
+   Collisions of a pair are the lists that both are in, the rest being looked up in their
+   pairs; those at or above the threshold are confirmed on the full sets.  This is one row
+   for each posting, and connects most of what is connected.
+5. Skip merging: lists whose members are connected already, or that hold a hub and one
+   other, are done.  In the others collisions are counted between members that are not yet
+   connected, each pair in the first list that it shares and in no other.  Of a member's
+   partners the closest are confirmed first, and what this connects is skipped when further
+   ones are; windows widen until no candidate is left.  A list longer than a block is dealt
+   to tasks as pairs of blocks.
 6. Connected components of the links give the smallest id that each class reaches.
 
+No pair is ever taken from anything but a posting list, and a pair is confirmed once.
+
 A link may be missed only if its signatures collide in fewer coordinates than the
 threshold: with 64 coordinates and 40 matches a link at similarity 0.85 is missed with
-probability below 3e-6, and closer ones less.
+probability below 3e-6, and closer ones less.  Shingles are compared as 64-bit hashes and
+equal sets are told by 128 bits: sizes and links are those of the texts but for a
+collision of these.
 
 Defined cases: A-Z only is lower-cased; words are runs of anything but bytes 32 and
 9-13.  A text with fewer words than a shingle is one shingle; without words, or null, it
 has none, is linked with nothing and is its own component.  A row with a null id is kept
 and takes part in nothing.  Rows are judged by their own text, so rows that share an id
-and differ in text may fall into different components; repeated rows are all alike.
-Extra columns are ignored.
+and differ in text may fall into different components, and ``keep_one_of_each`` judges each
+by its own text; repeated rows are all alike.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,18 +43,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm.flat import ascii_lower, fresh, mix, range_hashes, slices, words
 from quillmill.operators.components import component_labels
-from quillmill.staging import stage
+from quillmill.staging import drop, stage
 
 COORDINATES, MATCHES = 64, 40
-BLOCK = 512
+BLOCK = 512  # members of a list that are compared at a time
+WINDOW = 4  # closest partners of a member that are confirmed first
 _SEEDS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _WORD = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -95,137 +102,233 @@ def _described(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, fp, sig = [], [], []
-            for s in sets(b.column(1), size):
+            for s in sets(b.column(2), size):
                 n.append(len(s))
                 fp.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sig.append(signature(s).view(np.int32) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(sig, pa.list_(pa.int32()))], names=["id", "n", "fp", "sig"])
+            cols = [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(sig, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["id", "key", "n", "fp", "sig"])
 
     return run
 
 
+def text_key(text: Column) -> Column:
+    """With its id, what tells a row's text from that of another row of the id."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def describe(docs: DataFrame, *, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n, fp, sig)``: set size, set fingerprint, signature; fp and sig are null for an empty set."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_described(size), "id long, n long, fp binary, sig array<int>")
+    """``(id, key, n, fp, sig)``: text key, set size, set fingerprint, signature; fp and sig are null for an empty set."""
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text).alias("key"), text.cast("string").alias("text"))
+    return rows.mapInArrow(_described(size), "id long, key long, n long, fp binary, sig array<int>")
 
 
-def prefix_posts(classes: DataFrame, matches: int) -> DataFrame:
-    """``(token, rep)``: the rarest shared signature pairs of each class that can have a partner."""
+def prefixes(classes: DataFrame, matches: int) -> DataFrame:
+    """``(rep, n, own, room, weight)`` of each class that can have a partner.
+
+    ``own`` are its shared signature pairs, rarest first, of which the first ``room`` are its prefix; ``weight`` is how
+    often all of them occur.
+    """
     posts = classes.select("rep", F.posexplode("sig").alias("k", "v"))
     posts = posts.select("rep", (F.col("k").cast("long") * F.lit(1 << 32) + (F.col("v").cast("long") + F.lit(1 << 31))).alias("token"))
     # one row for each pair: a pair that a third of all classes share is still 1/64 of a third of the rows
     shared = posts.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    mine = posts.join(shared, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own")).where(F.size("own") >= matches)
+    mine = posts.join(shared, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own"), F.sum("df").alias("weight"))
     # pairs of only one class come first in the order and take their places in the prefix
-    room = F.size("own") - matches + 1
-    return mine.select("rep", F.explode(F.slice("own", F.lit(1), room)).alias("p")).select("rep", F.col("p.token").alias("token"))
+    return mine.where(F.size("own") >= matches).select("rep", F.col("own.token").alias("own"), (F.size("own") - matches + 1).alias("room"), "weight")
 
 
-def families(posts: DataFrame) -> DataFrame:
-    """``(rep, family)`` for classes that share a pair with another."""
-    least = posts.groupBy("token").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    star = posts.join(least, "token").where("rep <> hub").select(F.col("rep").alias("u"), F.col("hub").alias("v"))
-    return component_labels(star).select(F.col("id").alias("rep"), F.col("label").alias("family"))
+def posting_lists(mine: DataFrame) -> DataFrame:
+    """``(token, rep, hub)``: the lists of two classes or more, over the prefixes."""
+    posts = mine.select("rep", "weight", F.explode(F.slice("own", F.lit(1), F.col("room"))).alias("token"))
+    hubs = posts.groupBy("token").agg(F.max(F.struct("weight", "rep"))["rep"].alias("hub"), F.count("*").alias("m")).where("m > 1").drop("m")
+    return posts.join(hubs, "token").select("token", "rep", "hub")
 
 
-class _Union:
-    def __init__(self, labels: np.ndarray) -> None:
-        self.up = labels
+def _elements(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = list(sets(b.column(b.num_columns - 1), size))
+            # an id that occurs twice brings two texts: only the one of this class is meant
+            own = pa.array([xxhash.xxh3_128_digest(s.tobytes()) == r for s, r in zip(made, b.column(0).to_pylist(), strict=True)], pa.bool_())
+            elements = pa.array([s.view(np.int64) for s in made], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], elements], names=[*b.schema.names[:-1], "elements"]).filter(own)
 
-    def join(self, i: int, js: np.ndarray) -> None:
-        own = self.up[i]
-        self.up[np.isin(self.up, self.up[js])] = own
+    return run
 
 
-def block_links(left: pd.DataFrame, right: pd.DataFrame | None, matches: int, percent: int) -> list[tuple[bytes, bytes]]:
-    """Links within ``left``, or between ``left`` and ``right``, that connect what was not connected.
+def confirmed(pairs: DataFrame, members: DataFrame, *, matches: int, percent: int) -> DataFrame:
+    """Of the pairs (u, v) those with collisions enough, and then a similarity of ``percent`` on the full sets."""
+
+    def side(x: str, *columns: str) -> DataFrame:
+        return members.select(F.col("rep").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns])
+
+    near = pairs.join(side("u", "n", "own"), "u").join(side("v", "n", "own"), "v")
+    near = near.where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
+    near = near.where(F.size(F.array_intersect("own_u", "own_v")) >= matches).select("u", "v", (F.col("n_u") + F.col("n_v")).alias("n"))
+    both = near.join(side("u", "elements"), "u").join(side("v", "elements"), "v")
+    # 100 * i >= percent * (n - i) with i elements in common
+    return both.where((100 + percent) * F.size(F.array_intersect("elements_u", "elements_v")) >= percent * F.col("n")).select("u", "v")
+
+
+class _List:
+    """A list, or a pair of its blocks, as the rows come: representatives, labels, own pairs, and the block of each."""
+
+    def __init__(self, token: int, a: int, b: int) -> None:
+        self.token, self.a, self.b = token, a, b
+        self.reps: list[bytes] = []
+        self.labels: list[bytes] = []
+        self.owns: list[np.ndarray] = []
+        self.blocks: list[int] = []
+
+    def candidates(self, low: int, high: int, matches: int) -> tuple[list[tuple[bytes, bytes]], bool]:
+        """Pairs not connected yet that collide in ``matches`` coordinates or more, this list being the first that they share.
+
+        Of these the pairs in which one is among the other's partners from the ``low``-th up to the ``high``-th closest; and whether there are pairs beyond.
+        """
+        n = len(self.reps)
+        values, place = np.empty((n, COORDINATES), np.int64), np.full((n, COORDINATES), 255, np.uint8)
+        values[:] = -1 - np.arange(n)[:, None]  # equals nothing
+        for k, own in enumerate(self.owns):
+            values[k, own >> 32] = own
+            place[k, own >> 32] = np.arange(len(own))
+        label = np.unique(np.array(self.labels, object), return_inverse=True)[1]
+        blocks = np.array(self.blocks)
+        left, right = np.flatnonzero(blocks == self.a), np.flatnonzero(blocks == self.b)
+        found_i, found_j, count = [], [], []
+        for t, i in enumerate(left):
+            js = left[t + 1 :] if self.a == self.b else right
+            if not len(js):
+                continue
+            same = values[js] == values[i]
+            times = same.sum(1)
+            ok = np.flatnonzero(times >= matches)
+            if len(ok):
+                first = np.where(same[ok], place[i], 255).argmin(1)
+                ok = ok[values[i, first] == self.token]
+                found_i.append(np.full(len(ok), i))
+                found_j.append(js[ok])
+                count.append(times[ok])
+        if not found_i:
+            return [], False
+        i, j, c = (np.concatenate(x) for x in (found_i, found_j, count))
+        rank = np.minimum(_ranks(i, c), _ranks(j, c))
+        apart = label[i] != label[j]
+        now = np.flatnonzero(apart & (rank >= low) & (rank < high))
+        return [(self.reps[x], self.reps[y]) for x, y in zip(i[now], j[now], strict=True)], bool((apart & (rank >= high)).any())
+
+
+def _ranks(owner: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The place of each pair among those of its owner, most collisions first."""
+    order = np.lexsort((-count, owner))
+    starts = np.flatnonzero(np.r_[True, owner[order][1:] != owner[order][:-1]])
+    out = np.empty(len(owner), np.int64)
+    out[order] = np.arange(len(owner)) - np.repeat(starts, np.diff(np.r_[starts, len(owner)]))
+    return out
+
+
+def _merged(low: int, high: int, matches: int):
+    """Rows (token, a, b, block, rep, label, own) in the order of the first three -> candidates (u, v), and one row with nulls if there are more."""
+
+    def out(pairs: list[tuple[bytes | None, bytes | None]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.binary()), pa.array([y for _, y in pairs], pa.binary())], names=["u", "v"])
 
-    Within ``left`` they are given as stars: from each member to the least of its component.
-    """
-    both = left if right is None else pd.concat([left, right], ignore_index=True)
-    sig = np.stack(both["sig"].to_numpy())
-    values = [np.frombuffer(x, np.uint64) for x in both["elements"]]
-    n = np.array([len(v) for v in values])
-    whole, starts = np.concatenate(values), np.r_[0, np.cumsum(n)]
-    rep, group = both["rep"].tolist(), _Union(np.unique(both["label"].to_numpy(), return_inverse=True)[1])
-    out = []
-    for i in range(len(left)):
-        js = np.arange(i) if right is None else np.arange(len(left), len(both))
-        js = js[(group.up[js] != group.up[i]) & (100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i]))]
-        js = js[(sig[js] == sig[i]).sum(1) >= matches] if len(js) else js
-        if not len(js):
-            continue
-        pick = np.repeat(starts[js] - np.r_[0, np.cumsum(n[js])[:-1]], n[js]) + np.arange(n[js].sum())
-        cand = whole[pick]
-        spot = np.minimum(np.searchsorted(values[i], cand), n[i] - 1)
-        inter = np.add.reduceat((values[i][spot] == cand).astype(np.int64), np.r_[0, np.cumsum(n[js])[:-1]])
-        yes = js[100 * inter >= percent * (n[js] + n[i] - inter)]
-        if len(yes):
-            for u in np.unique(group.up[yes]):
-                out.append((bytes(rep[i]), bytes(rep[yes[group.up[yes] == u][0]])))
-            group.join(i, yes)
-    if right is not None:
-        return out
-    least: dict[int, bytes] = {}
-    for g, x in zip(group.up.tolist(), rep, strict=True):
-        least[g] = min(least.get(g, bytes(x)), bytes(x))
-    return [(bytes(x), least[g]) for g, x in zip(group.up.tolist(), rep, strict=True) if bytes(x) != least[g]]
-
-
-def _linker(matches: int, percent: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = int(pdf["a"].iloc[0]), int(pdf["b"].iloc[0])
-        pdf = pdf.drop_duplicates("rep")  # a repeated id brings its class more than once
-        left = pdf[pdf["block"] == a].reset_index(drop=True)
-        right = None if a == b else pdf[pdf["block"] == b].reset_index(drop=True)
-        links = block_links(left, right, matches, percent) if len(left) and (right is None or len(right)) else []
-        return pd.DataFrame({"u": [x for x, _ in links], "v": [y for _, y in links]}, dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, more, pairs = None, False, []
+        for b in batches:
+            keys = list(zip(*(b.column(k).to_pylist() for k in range(4)), strict=True))
+            own = b.column(6)
+            flat_own, at = own.values.to_numpy(), own.offsets.to_numpy()
+            for k, ((token, x, y, block), rep, label) in enumerate(zip(keys, b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)):
+                if now is None or (token, x, y) != (now.token, now.a, now.b):
+                    if now is not None:
+                        found, beyond = now.candidates(low, high, matches)
+                        pairs += found
+                        more = more or beyond
+                    now = _List(token, x, y)
+                now.reps.append(rep)
+                now.labels.append(label)
+                now.owns.append(flat_own[at[k] : at[k + 1]].copy())
+                now.blocks.append(block)
+            if len(pairs) > 4096:
+                yield out(pairs)
+                pairs = []
+        if now is not None:
+            found, beyond = now.candidates(low, high, matches)
+            pairs += found
+            more = more or beyond
+        if more:
+            pairs.append((None, None))
+        if pairs:
+            yield out(pairs)
 
     return run
 
 
-def _pairs(rows: DataFrame, off_diagonal: bool) -> DataFrame:
-    """Each row once for each pair of blocks that it is in."""
-    if not off_diagonal:
-        return rows.withColumns({"a": F.col("block"), "b": F.col("block")})
-    others = F.transform(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("block")), lambda x: F.struct(F.least(x, F.col("block")).alias("a"), F.greatest(x, F.col("block")).alias("b")))
-    return rows.withColumn("p", F.explode(others)).withColumns({"a": F.col("p.a"), "b": F.col("p.b")}).drop("p")
+def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(token, rep, label, blocks)`` of the lists whose members are not all connected; those of two have been compared."""
+    known = labels.select(F.col("id").alias("rep"), "label")
+    rows = lists.select("token", "rep").join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    left = rows.groupBy("token").agg(F.count("*").alias("m"), F.min("label").alias("a"), F.max("label").alias("b")).where("m > 2 AND a <> b")
+    return rows.join(left.select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "token")
 
 
-def _elements(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            made = list(sets(b.column(b.num_columns - 1), size))
-            # an id that occurs twice brings two texts: only the one of this class is meant
-            own = pa.array([xxhash.xxh3_128_digest(s.tobytes()) == r for s, r in zip(made, b.column(0).to_pylist(), strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([s.tobytes() for s in made], pa.binary())], names=[*b.schema.names[:-1], "elements"]).filter(own)
+def further_pairs(todo: DataFrame, mine: DataFrame, low: int, high: int, matches: int) -> DataFrame:
+    """Candidates (u, v) of the open lists, by pairs of blocks; a row of nulls says that there are more beyond ``high``."""
+    n = int(todo.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = todo.join(mine.select("rep", "own"), "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("token", F.least("x", "block").alias("a"), F.greatest("x", "block").alias("b"), "block", "rep", "label", "own")
+    dealt = rows.repartition(n, "token", "a", "b").sortWithinPartitions("token", "a", "b")
+    return dealt.mapInArrow(_merged(low, high, matches), "u binary, v binary")
 
-    return run
 
-
-def class_links(docs: DataFrame, classes: DataFrame, *, size: int, percent: int, matches: int, id_col: str, text_col: str) -> DataFrame:
-    """``(u, v)``: links between class representatives that connect the same classes as all links do."""
-    fam = stage(families(stage(prefix_posts(classes, matches), "posts")), "families")
-    sizes = fam.groupBy("family").agg(F.count("*").alias("m"))
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    placed = fam.join(sizes, "family").select("rep", "family", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
-    placed = placed.join(classes, "rep")
+def class_labels(docs: DataFrame, classes: DataFrame, *, size: int, percent: int, matches: int, id_col: str, text_col: str) -> DataFrame:
+    """``(id, label)``: for each class representative that has a link the least one that it reaches."""
+    mine = stage(prefixes(classes, matches), "prefixes")
+    lists = stage(posting_lists(mine), "lists")
     # The sets are made again from the texts of the few classes left, not kept for all.
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = placed.join(texts, "id").select("rep", "family", "blocks", "block", "sig", "text")
-    made = rows.mapInArrow(_elements(size), "rep binary, family binary, blocks int, block int, sig array<int>, elements binary")
-    made = stage(made.withColumn("label", F.col("rep")), "members")
-    run = _linker(matches, percent)
-    near = stage(_pairs(made, False).groupBy("family", "a", "b").applyInPandas(run, "u binary, v binary"), "links")
-    large = made.where("blocks > 1")
-    if not large.limit(1).count():
-        return near
-    # What the blocks connect on their own need not be compared again across blocks.
-    known = near.select(F.col("u").alias("rep"), F.col("v").alias("known"))
-    large = large.join(known, "rep", "left").withColumn("label", F.coalesce("known", "label")).drop("known")
-    far = stage(_pairs(large, True).groupBy("family", "a", "b").applyInPandas(run, "u binary, v binary"), "links")
-    return near.union(far)
+    listed = lists.select("rep").distinct().join(mine.select("rep", "own"), "rep").join(classes.select("rep", "id", "n"), "rep")
+    made = listed.join(texts, "id").select("rep", "n", "own", "text")
+    members = stage(made.mapInArrow(_elements(size), "rep binary, n long, own array<long>, elements array<long>").dropDuplicates(["rep"]), "members")
+    stars = lists.where("rep <> hub").select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct()
+    links = stage(confirmed(stars, members, matches=matches, percent=percent), "links")
+    low, high = 0, WINDOW
+    while True:
+        labels = component_labels(links)
+        todo = stage(open_lists(lists, labels), "open")
+        if not todo.limit(1).count():
+            break
+        found = stage(further_pairs(todo, mine, low, high, matches), "pairs")
+        pairs = found.where("u IS NOT NULL")
+        if pairs.limit(1).count():
+            links = links.union(stage(confirmed(pairs, members, matches=matches, percent=percent), "links"))
+        if not found.where("u IS NULL").limit(1).count():
+            labels = component_labels(links)
+            break
+        low, high = high, 4 * high
+    drop(mine, lists, members, todo)
+    return labels
+
+
+def _judged(docs: DataFrame, *, size: int, percent: int, matches: int | None, id_col: str, text_col: str) -> DataFrame:
+    """``(id, key, n_shingles, component_id, kept)`` for each row."""
+    if matches is None:
+        p = percent / 100
+        matches = max(1, int(COORDINATES * p - 5 * (COORDINATES * p * (1 - p)) ** 0.5))
+    described = stage(describe(docs, size=size, id_col=id_col, text_col=text_col), "described")
+    known = described.where("fp IS NOT NULL AND id IS NOT NULL").groupBy(F.col("fp").alias("rep"))
+    classes = stage(known.agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
+    parts = class_labels(docs, classes, size=size, percent=percent, matches=matches, id_col=id_col, text_col=text_col)
+    placed = classes.select("rep", "id").join(parts.select(F.col("id").alias("rep"), F.col("label").alias("part")), "rep", "left").withColumn("part", F.coalesce("part", "rep"))
+    least = placed.groupBy("part").agg(F.min("id").alias("component"))
+    ids = placed.join(least, "part").select(F.col("rep").alias("fp"), "component")
+    out = described.select("id", "key", "n", "fp").join(ids, "fp", "left")
+    component = F.coalesce("component", "id")
+    kept = F.coalesce(F.col("id") == component, F.lit(True))
+    return out.select("id", "key", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, matches: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,20 +337,7 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, matche
     Without ``matches`` the threshold on signatures lies about five standard deviations
     below what a pair at ``percent`` is expected to have.
     """
-    if matches is None:
-        p = percent / 100
-        matches = max(1, int(COORDINATES * p - 5 * (COORDINATES * p * (1 - p)) ** 0.5))
-    described = stage(describe(docs, size=size, id_col=id_col, text_col=text_col), "described")
-    classes = described.where("fp IS NOT NULL AND id IS NOT NULL").groupBy(F.col("fp").alias("rep")).agg(F.min("id").alias("id"), F.first("sig").alias("sig"))
-    classes = stage(classes, "classes")
-    links = class_links(docs, classes, size=size, percent=percent, matches=matches, id_col=id_col, text_col=text_col)
-    parts = component_labels(links).select(F.col("id").alias("rep"), F.col("label").alias("part"))
-    placed = classes.select("rep", "id").join(parts, "rep", "left").withColumn("part", F.coalesce("part", "rep"))
-    least = placed.groupBy("part").agg(F.min("id").alias("component"))
-    ids = placed.join(least, "part").select(F.col("rep").alias("fp"), "component")
-    out = described.select("id", "n", "fp").join(ids, "fp", "left")
-    component = F.coalesce("component", "id")
-    return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    return _judged(docs, size=size, percent=percent, matches=matches, id_col=id_col, text_col=text_col).drop("key")
 
 
 def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
@@ -257,7 +347,8 @@ def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, *, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document stays, with their own columns."""
-    own = fresh(docs, "gone")
-    gone = near_duplicates(docs, size=size, percent=percent, id_col=id_col, text_col=text_col).where("NOT kept").select(F.col("id").alias(own)).distinct()
-    return docs.join(gone, F.col(id_col) == F.col(own), "left_anti")
+    """The rows of ``docs`` whose document stays, with their own columns; rows that share an id are judged each by its text."""
+    own, key = fresh(docs, "gone"), fresh(docs, "key")
+    judged = _judged(docs, size=size, percent=percent, matches=None, id_col=id_col, text_col=text_col)
+    gone = judged.where("NOT kept").select(F.col("id").alias(own), F.col("key").alias(key)).distinct()
+    return docs.join(gone, (F.col(id_col).cast("long") == F.col(own)) & (text_key(F.col(text_col)) == F.col(key)), "left_anti")

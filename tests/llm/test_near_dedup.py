@@ -41,9 +41,10 @@ def edited(r, words, n):
     return " ".join(w)
 
 
-@pytest.mark.parametrize("size,percent,block", [(3, 85, 512), (5, 80, 512), (3, 85, 8)])
-def test_matches_brute_force(messy, texts, monkeypatch, size, percent, block):
+@pytest.mark.parametrize("size,percent,block,window", [(3, 85, 512, 4), (5, 80, 512, 1), (3, 85, 8, 1)])
+def test_matches_brute_force(messy, texts, monkeypatch, size, percent, block, window):
     monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "WINDOW", window)
     r = random.Random(5)
     base = [f"w{r.randrange(400)}" for _ in range(120)]
     other = [f"v{r.randrange(400)}" for _ in range(90)]
@@ -63,6 +64,27 @@ def test_stage_keeps_one_of_each_and_all_columns(messy, texts):
     assert 6 in ids and 10 not in ids and 11 not in ids and 2 in ids and None in ids
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    b = " ".join(f"word{k}" for k in range(60))
+    rows = [(1, b + " more"), (5, "quite another text that nothing else is like at all"), (5, b), (7, None), (7, b)]
+    kept = N.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted((d, t or "") for d, t in [rows[0], rows[1], rows[3]])
+
+
+def test_chains_and_templates_match_brute_force(spark, monkeypatch):
+    """A chain in which only neighbours are linked, and many texts that are close but not close enough: no hub connects either."""
+    monkeypatch.setattr(N, "BLOCK", 16)
+    r = random.Random(9)
+    chain = [f"c{k}" for k in range(400)]
+    rows = [" ".join(chain[4 * k : 4 * k + 100]) for k in range(60)]
+    template = [f"t{k}" for k in range(100)]
+    rows += [edited(r, template, 5) for _ in range(40)]
+    rows = list(enumerate(rows))
+    r.shuffle(rows)
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), size=3, percent=85, matches=30).collect()
+    assert sorted((False, x.id, x.n_shingles, x.component_id) for x in got) == brute(rows, 3, 85)
+
+
 def test_empty(empty):
     assert N.near_duplicates(empty).count() == 0 and N.keep_one_of_each(empty).count() == 0
 
