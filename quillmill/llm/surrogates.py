@@ -1,20 +1,28 @@
 """PII surrogates: detected entities are replaced by keyed, type-consistent stand-ins.
 
 Only DataFrame functions are used.  One regular expression finds e-mail addresses,
-telephone numbers, IP addresses of both versions, card and account numbers, secrets and titled names.
-Each distinct entity of the corpus gets one surrogate, a keyed hash spelled in the
-entity's own format: letters stay letters of the same case and script, digits digits,
-separators as they were; octets stay octets, and an address of version 6 becomes a full one; a number that passes Luhn's test keeps
-passing it; the title, and with it the gender, of a name decides how the new given name
-ends.  The parts of a name are entities of their own, so that "Frau Anna Berg" and
-"Frau Berg" go on meaning one person.
+telephone numbers, IP addresses of both versions, card and account numbers, secrets and
+titled names; it runs over every text once.  What a match means is told by its canonical
+form: lower case for addresses and names, digits for numbers, of a telephone number the last
+ten without the country's code and leading zeros.  So "+1 (988) 555-2485" and "988-555-2485"
+are one telephone, "BERG" and "Berg" one name.  The parts of a name are entities of their
+own, so that "Frau Anna Berg" and "Frau Berg" go on meaning one person.
+
+Each canonical entity of the corpus gets one surrogate, by a keyed hash; each occurrence has
+it in its own spelling: upper and lower case where they were, separators as they were, the
+country's code kept.  Letters stay letters of the same script and digits digits; octets stay
+octets, and an address of version 6 becomes a full one; a card number that passes Luhn's test
+keeps passing it, and account numbers get check digits that are valid; the title, and with it
+the gender, of a name decides how the new given name ends.
 
 Distinctness is checked, not assumed: surrogates of one kind that coincide, or that are
 themselves an entity of the corpus, are drawn again, all but one, until none coincide.
 
-Documents without an entity are passed through unshuffled.  Those with one are joined
-with a map of their own entities by a hash of the text; should two texts share a hash,
-their maps are merged and each still finds its entities.
+Documents are written down with their matches.  Those without an entity are passed through
+unshuffled; those with one are joined with a map of their own entities by a hash of the
+text; should two texts share a hash, their maps are merged and each still finds its entities.
+
+The key has no default: whoever knows it can find out what a surrogate stands for by trying.
 
 Defined cases: a null text stays null and an empty one empty, with no entities.
 Repeated rows get equal results.  Null ids are allowed: the id is not used.  Other
@@ -26,7 +34,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.flat import fresh
 from quillmill.staging import drop, stage
 
 # The shapes that count as personal.  Open-ended repetitions are possessive and begin where a run of
@@ -67,20 +74,48 @@ def kind(m: Column) -> Column:
     return c.when(m.rlike(_whole(CARD)), "card").otherwise("phone")
 
 
+def _bare(s: Column, wanted: str = "0-9") -> Column:
+    return F.regexp_replace(s, f"[^{wanted}]", "")
+
+
+def canonical(k: Column, m: Column) -> Column:
+    """What all spellings of an entity that is no name have in common."""
+    country = F.regexp_replace(m, r"^\+(?:\d{1,3}(?!\d)|\d)", "")
+    national = F.regexp_replace(_bare(F.when(m.startswith("+"), country).otherwise(m)), "^0+(?=.)", "")
+    out = F.when(k.isin("email", "ipv6", "hex"), F.lower(m)).when(k == "phone", F.right(national, F.lit(10)))
+    return out.when(k.isin("card", "ssn"), _bare(m)).when(k == "iban", F.replace(m, F.lit(" "), F.lit(""))).otherwise(m)
+
+
 def keys(m: Column) -> Column:
-    """The entities in a match, each as kind, a tab, and its text: one, or for a person one for each part of the name."""
+    """The entities in a match, each as kind, a tab, and its canonical form: one, or for a person one for each part of the name."""
     words = F.slice(F.split(m, " "), 2, 10)
     sex = F.when(m.rlike(rf"^(?:{FEMALE_TITLES})\.? "), "female").otherwise("male")
-    parts = F.transform(words, lambda w, i: F.concat(F.when(i == F.size(words) - 1, "family").otherwise(sex), F.lit("\t"), w))
+    parts = F.transform(words, lambda w, i: F.concat(F.when(i == F.size(words) - 1, "family").otherwise(sex), F.lit("\t"), F.lower(w)))
     k = kind(m)
-    return F.when(k == "person", parts).otherwise(F.array(F.concat(k, F.lit("\t"), m)))
+    return F.when(k == "person", parts).otherwise(F.array(F.concat(k, F.lit("\t"), canonical(k, m))))
+
+
+def respelled(k: Column, m: Column, new: Column) -> Column:
+    """A surrogate of a canonical form in the spelling of an occurrence."""
+    letters = "0-9A-Za-z"
+    whole = _bare(m, letters)
+    full = F.concat(F.substr(whole, F.lit(1), F.length(whole) - F.length(new)), new)
+    nth = lambda i: F.length(_bare(F.substr(m, F.lit(1), i + 1), letters))
+    filled = F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(c.rlike(f"[{letters}]"), F.substr(full, nth(i), F.lit(1))).otherwise(c)), "")
+    cased = F.array_join(F.transform(F.split(new, ""), lambda c, i: F.when(F.substr(m, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
+    out = F.when(k.isin("phone", "card", "ssn", "iban"), filled)
+    out = out.when((k == "email") & (F.length(m) == F.length(new)), cased)
+    return out.when(k.isin("ipv6", "hex") & m.rlike("[A-F]"), F.upper(new)).otherwise(new)
 
 
 def rebuilt(m: Column, surrogates: Column) -> Column:
     """A match with its entities replaced."""
     found = F.transform(keys(m), lambda k: F.try_element_at(surrogates, k))
-    title = F.concat(F.element_at(F.split(m, " "), 1), F.lit(" "))
-    return F.when(kind(m) == "person", F.concat(title, F.array_join(found, " "))).otherwise(F.array_join(found, ""))
+    words = F.split(m, " ")
+    loud = lambda w: (F.upper(w) == w) & (F.length(w) > 1)
+    parts = F.transform(found, lambda new, i: F.when(loud(F.get(words, i + 1)), F.upper(new)).otherwise(new))
+    person = F.concat(F.get(words, 0), F.lit(" "), F.array_join(parts, " "))
+    return F.when(kind(m) == "person", person).otherwise(respelled(kind(m), m, F.get(found, 0)))
 
 
 def _byte(h: Column, i: Column) -> Column:
@@ -127,31 +162,41 @@ def _card(s: Column, h: Column) -> Column:
     return F.when(_luhn(s) == 0, fixed).otherwise(new)
 
 
+def _iban(s: Column, h: Column) -> Column:
+    """Country, valid check digits, and the rest drawn anew."""
+    country, rest = F.substring(s, 1, 2), F.substr(_spelled(s, h, 4), F.lit(5))
+    digits = F.split(F.concat(rest, country, F.lit("00")), "")
+
+    def add(total: Column, c: Column) -> Column:
+        value = F.conv(c, 36, 10).cast("int")
+        return F.pmod(total * F.when(value > 9, 100).otherwise(10) + value, F.lit(97))
+
+    check = F.lit(98) - F.aggregate(digits, F.lit(0), add)
+    return F.concat(country, F.lpad(check.cast("string"), 2, "0"), rest)
+
+
 def _name(s: Column, h: Column, role: str, attempt: Column) -> Column:
     def made(script: str) -> Column:
         syllables = F.array(*[F.lit(x) for x in SYLLABLES[script]])
-        body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + F.least(attempt, F.lit(3))), lambda i: F.get(syllables, F.pmod(_byte(h, i), F.lit(16)))), "")
-        name = F.concat(body, F.lit(ENDINGS[script][role]))
-        name = F.concat(F.upper(F.substring(name, 1, 1)), F.substr(name, F.lit(2)))
-        return F.when((F.upper(s) == s) & (F.length(s) > 1), F.upper(name)).otherwise(name)
+        count = F.lit(2) + F.least(attempt, F.lit(3))
+        body = F.array_join(F.transform(F.sequence(F.lit(1), count), lambda i: F.get(syllables, F.pmod(_byte(h, i), F.lit(16)))), "")
+        return F.initcap(F.concat(body, F.lit(ENDINGS[script][role])))
 
     return F.when(s.rlike(r"\p{IsCyrillic}"), made("cyrillic")).when(s.rlike(r"\p{IsGreek}"), made("greek")).otherwise(made("latin"))
 
 
 def surrogate(key: Column, attempt: Column, secret: str) -> Column:
-    """The stand-in of an entity (kind, tab, text) on its n-th draw."""
+    """The stand-in of a canonical entity (kind, tab, text) on its n-th draw."""
     k, s = F.substring_index(key, "\t", 1), F.substr(key, F.instr(key, "\t") + 1)
     h = F.sha2(F.concat_ws("\x1f", F.lit(secret), key, attempt.cast("string")), 512)
     local, domain = F.substring_index(s, "@", 1), F.substring_index(s, "@", -1)
     stem = F.substr(domain, F.lit(1), F.length(domain) - F.length(F.substring_index(domain, ".", -1)))
     email = F.concat(_spelled(local, h), F.lit("@"), _spelled(stem, F.sha2(h, 512)), F.substring_index(domain, ".", -1))
     ip = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.pmod(_byte(h, i), F.lit(254)).cast("int") + 1), ".")
-    country = F.when(s.startswith("+"), F.length(F.regexp_extract(s, r"^\+(?:\d{1,3}(?!\d)|\d)", 0))).otherwise(0)
     prefix = F.length(F.regexp_extract(s, rf"^{SECRET_PREFIX}", 0))
-    hexa = F.when(F.upper(s) == s, _spelled(s, h, 0, "0123456789ABCDEF", "abcdef")).otherwise(_spelled(s, h, 0, DIGITS, "abcdef"))
     ipv6 = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substr(h, i * 4 + 1, F.lit(4))), ":")
-    out = F.when(k == "email", email).when(k == "ip", ip).when(k == "ipv6", F.when(s.rlike("[A-F]"), F.upper(ipv6)).otherwise(ipv6)).when(k == "hex", hexa).when(k == "secret", _spelled(s, h, prefix))
-    out = out.when(k == "iban", _spelled(s, h, 2)).when(k == "card", _card(s, h)).when(k == "phone", _spelled(s, h, country)).when(k == "ssn", _spelled(s, h))
+    out = F.when(k == "email", email).when(k == "ip", ip).when(k == "ipv6", ipv6).when(k == "hex", _spelled(s, h, 0, DIGITS, "abcdef"))
+    out = out.when(k == "secret", _spelled(s, h, prefix)).when(k == "iban", _iban(s, h)).when(k == "card", _card(s, h)).when(k.isin("phone", "ssn"), _spelled(s, h))
     for role in ("female", "male", "family"):
         out = out.when(k == role, _name(s, h, role, attempt))
     return out
@@ -160,8 +205,12 @@ def surrogate(key: Column, attempt: Column, secret: str) -> Column:
 def dictionary(entities: DataFrame, secret: str) -> DataFrame:
     """``(key, surrogate)`` for a table of distinct keys; one to one within a kind, and never an entity of the corpus."""
     entities = stage(entities.select("key"), "entities")
-    now = stage(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate(F.col("key"), F.col("attempt"), secret)), "surrogates")
-    real = entities.select(F.substr("key", F.instr("key", F.lit("\t")) + 1).alias("surrogate"), F.substring_index("key", "\t", 1).alias("kind")).distinct()
+    # few bytes, but much to work out for each: dealt to all tasks
+    n = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    drawn = entities.repartition(n, "key").withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate(F.col("key"), F.lit(0), secret))
+    now = stage(drawn, "surrogates")
+    real = entities.select(F.substr("key", F.instr("key", F.lit("\t")) + 1).alias("surrogate"), F.substring_index("key", "\t", 1).alias("kind"))
+    real = real.withColumn("surrogate", F.when(F.col("kind").isin(*ENDINGS["latin"]), F.initcap("surrogate")).otherwise(F.col("surrogate"))).distinct()
     while True:
         marked = now.withColumn("kind", F.substring_index("key", "\t", 1))
         first = marked.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "key"))["key"].alias("owner"))
@@ -175,27 +224,30 @@ def dictionary(entities: DataFrame, secret: str) -> DataFrame:
         now = stage(judged.select("key", F.when(F.col("again"), attempt).otherwise(F.col("attempt")).alias("attempt"), F.when(F.col("again"), surrogate(F.col("key"), attempt, secret)).otherwise(F.col("surrogate")).alias("surrogate")), "surrogates")
 
 
-def replace(docs: DataFrame, *, secret: str = "quillmill", text_col: str = "text", extra: str = "n_entities") -> DataFrame:
+def replace(docs: DataFrame, *, secret: str, text_col: str = "text", extra: str = "n_entities") -> DataFrame:
     """``docs`` with its entities replaced, and the number of them in ``extra``, which replaces a column of that name."""
     docs = docs.drop(extra)
-    text = F.col(f"`{text_col}`")
-    has = F.coalesce(text.rlike(HINT) & text.rlike(ANY), F.lit(False))
-    matches = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    found = docs.where(has).select(F.xxhash64(text).alias("h"), F.array_distinct(F.flatten(F.transform(matches, keys))).alias("ks"))
-    # explode() would have the optimiser work out the matches once more, to drop rows without any
+    names, at = docs.columns, docs.columns.index(text_col)
+    text, m = F.col(f"c{at}"), F.col("m")
+    matches = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    marked = stage(docs.toDF(*[f"c{k}" for k in range(len(names))]).withColumn("m", matches), "marked")
+    hit, none = marked.where(F.size("m") > 0), F.coalesce(F.size("m"), F.lit(0)) <= 0
+    found = hit.select(F.xxhash64(text).alias("h"), F.array_distinct(F.flatten(F.transform(m, keys))).alias("ks"))
     found = stage(found.select("h", F.explode_outer("ks").alias("key")).distinct().where("key IS NOT NULL"), "found")
     known = dictionary(found.select("key").distinct(), secret)
     maps = found.join(known, "key").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("key", "surrogate"))).alias("map"))
-    h, own, m = (fresh(docs, x) for x in ("hash", "map", "matches"))
-    maps = stage(maps.select(F.col("h").alias(h), F.col("map").alias(own)), "maps")
+    maps = stage(maps, "maps")
     # the size of ``maps`` is known from its files: the optimiser broadcasts it only below its limit
-    hit = docs.where(has).join(maps, F.xxhash64(text) == F.col(h)).withColumn(m, matches)
-    new = F.array_join(F.zip_with(F.split(text, ANY), F.col(m), lambda piece, x: F.concat(piece, F.when(x.isNull(), "").otherwise(rebuilt(x, F.col(own))))), "")
-    changed = hit.withColumn(extra, F.size(m)).withColumn(text_col, new).select(*[F.col(f"`{c}`") for c in docs.columns], extra)
-    return changed.unionByName(docs.where(~has).withColumn(extra, F.lit(0)))
+    rows = hit.withColumn("h", F.xxhash64(text)).join(maps, "h")
+    new = F.array_join(F.zip_with(F.split(text, ANY), m, lambda piece, x: F.concat(piece, F.when(x.isNull(), "").otherwise(rebuilt(x, F.col("map"))))), "")
+    changed = rows.withColumn(extra, F.size("m")).withColumn(f"c{at}", new).select(*[f"c{k}" for k in range(len(names))], extra)
+    return changed.unionByName(marked.where(none).withColumn(extra, F.lit(0)).drop("m")).toDF(*names, extra)
+
+
+TEST_KEY = "a key for tests: not for texts that matter"
 
 
 def op3_pii(spark, sf_dir: str) -> DataFrame:
     """Query: every document with its text as published, and the number of entities replaced."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return replace(docs)
+    return replace(docs, secret=TEST_KEY)

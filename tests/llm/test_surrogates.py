@@ -19,27 +19,85 @@ def shape(s):
 
 
 def test_replaces_every_kind_in_its_format(spark):
-    new = S.replace(spark.createDataFrame([(TEXT,)], "text string")).first()
+    new = S.replace(spark.createDataFrame([(TEXT,)], "text string"), secret="k").first()
     assert new.n_entities == 12
     for gone in ("josé", "555-2485", "4041894974608795", "70.23.22.57", "Anna", "Berg ", "Иван", "Петров", "24be6443", "AKIASJ", "4111 1111", "DE89 3704", "123-45-6789"):
         assert gone not in new.text
     m = re.search(r"^mail (\S+)@(\S+)\.com, call (\+1 \(\d{3}\) \d{3}-\d{4}) (\d{16}) or (\d+\.\d+\.\d+\.\d+)\. Frau (\w+) (\w+) met Frau (\w+) and Mr\. ([А-Яа-я]+) ([А-Яа-я]+); token = \"([0-9a-f]{40})\"### (AKIA[0-9A-Z]{16}) (\d{4} \d{4} \d{4} \d{4}) (DE\d\d [\d ]+) and (\d{3}-\d\d-\d{4})\.$", new.text)
     assert m and m[7] == m[8] and m[6].endswith("na") and m[9].endswith("н") and all(0 < int(x) < 256 for x in m[5].split("."))
     assert luhn(m[13]) and luhn(m[4]) == luhn("4041894974608795") and shape(m[12][4:])[0] in "A9"
+    assert mod97(m[14]) == 1
+
+
+def mod97(s):
+    s = s.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
+
+
+SPELLINGS = [
+    ["A.Smith@Mail.Example.com", "a.smith@mail.example.com", "A.SMITH@MAIL.EXAMPLE.COM"],
+    ["+1 (988) 555-2485", "988-555-2485", "(988) 555-2485", "+1 988 555 2485"],
+    ["+49 30 1234567", "(030) 1234567"],
+    ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111"],
+    ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000"],
+    ["24be64439e3e49cf46b2d7c90f3602a3", "24BE64439E3E49CF46B2D7C90F3602A3"],
+    ["Frau Berg", "Herr BERG"],
+]
+
+
+def plain(kind, m):
+    """The canonical form, in plain Python."""
+    if kind == "phone":
+        d = re.sub(r"^\+(\d{1,3}(?!\d)|\d)", "", m)
+        return (re.sub(r"\D", "", d).lstrip("0") or "0")[-10:]
+    if kind in ("card", "iban"):
+        return re.sub(r"\W", "", m)
+    return m.lower() if kind != "person" else m.split(" ")[-1].lower()
+
+
+def test_against_brute_force_in_plain_python(spark):
+    """Texts are cut at the same places, and what stands there is one to one with what stood there, in its spelling."""
+    import regex
+
+    rows = [f"{a} and then {b}; {c}" for group in SPELLINGS for a in group for b in group for c in ("so", "user7@b.example", "10.1.2.3")]
+    rows += ["", "none here", *rows[:3], "x" * 5000 + " " + rows[0]]
+    got = S.replace(spark.createDataFrame(list(enumerate(rows)), "k int, text string"), secret="k").collect()
+    any_ = regex.compile(S.ANY)
+    kinds = {x: k for k, group in zip(["email", "phone", "phone", "card", "iban", "hex", "person"], SPELLINGS, strict=True) for x in group}
+    kinds |= {"user7@b.example": "email", "10.1.2.3": "ip"}
+    there, back = {}, {}
+    for r in got:
+        before = rows[r.k]
+        old, new = any_.findall(before), any_.findall(r.text)
+        assert any_.split(before) == any_.split(r.text) and len(old) == len(new) == r.n_entities
+        for x, y in zip(old, new, strict=True):
+            k = kinds[x]
+            a, b = (k, plain(k, x)), (k, plain(k, y))
+            assert a != b and there.setdefault(a, b) == b and back.setdefault(b, a) == a
+            assert shape(x) == shape(y) or k in ("hex", "person", "ip")
+            assert k != "iban" or mod97(y) == 1
+            assert k != "card" or luhn(y)
+            assert (x.upper() == x) == (y.upper() == y)
+    assert len(there) == len(SPELLINGS) + 2
 
 
 def test_leaves_the_rest_alone(messy, texts):
     docs = messy(CLEAN + texts)
-    out = S.replace(docs)
+    out = S.replace(docs, secret="k")
     assert out.columns == [*docs.columns, "n_entities"] and out.schema[:-1] == docs.schema
     before = sorted(map(repr, (r[:9] for r in docs.collect())))
     assert sorted(map(repr, (r[:9] for r in out.collect()))) == before and out.agg(F.sum("n_entities")).first()[0] == 0
 
 
+def test_a_key_is_asked_for(empty):
+    with pytest.raises(TypeError):
+        S.replace(empty)
+
+
 def test_is_one_to_one_and_coreferent(messy):
     people = [f"user{k}@mail.example.com and 10.0.{k // 200}.{k % 200 + 1}" for k in range(400)]
     docs = messy(people * 2)
-    rows = [r for r in S.replace(docs).collect() if r.n_entities]
+    rows = [r for r in S.replace(docs, secret="k").collect() if r.n_entities]
     by = {}
     for r in rows:
         by.setdefault(r.doc_id % 400, set()).add(r.text)
@@ -66,7 +124,7 @@ def test_key_matters_and_runs_agree(spark):
 
 @pytest.mark.parametrize("make", [lambda: "a" * 300_000 + "@" + "b." * 50, lambda: "1" * 300_000, lambda: "1." * 100_000, lambda: "+1 " * 50_000, lambda: "Mr A " * 2000])
 def test_long_texts_take_no_quadratic_time(spark, make):
-    assert S.replace(spark.createDataFrame([(make(),)], "text string")).count() == 1
+    assert S.replace(spark.createDataFrame([(make(),)], "text string"), secret="k").count() == 1
 
 
 WHOLE = ["sk-proj-" + "aB3_" * 40, "ghp_" + "a1B2" * 30, "xoxb-" + "1a-B" * 40, "github_pat_11ABCDEFG0" + "x9_Y" * 15, "0f3a" * 50, "a" * 70 + "7" * 130, "x" * 90 + "1@mail.example.com", "q@" + "b." * 30 + "com"]
@@ -76,7 +134,7 @@ WHOLE += ["2001:db8::ff00:42:8329", "fe80::1", "::1", "2001:0db8:85a3:0000:0000:
 
 def test_entities_are_found_whole_in_any_length_and_form(spark):
     rows = [(k, f"so {x}, then") for k, x in enumerate(WHOLE)]
-    for r in S.replace(spark.createDataFrame(rows, "k int, text string")).collect():
+    for r in S.replace(spark.createDataFrame(rows, "k int, text string"), secret="k").collect():
         assert r.n_entities == 1 and r.text.startswith("so ") and r.text.endswith(", then") and WHOLE[r.k] not in r.text, (WHOLE[r.k], r.text)
         if ":" not in WHOLE[r.k]:
             assert len(r.text) == len(WHOLE[r.k]) + 9
@@ -84,23 +142,24 @@ def test_entities_are_found_whole_in_any_length_and_form(spark):
 
 def test_keys_before_other_letters_and_addresses_in_a_row(spark):
     rows = [("sk-" + "ab1" * 20 + "是",), ("a1@b.com_c2@d.com",), ("sk-" + "abcde" * 6,)]
-    assert [r.n_entities for r in S.replace(spark.createDataFrame(rows, "text string")).collect()] == [1, 2, 1]
+    got = S.replace(spark.createDataFrame(list(enumerate(rows)), "k int, r struct<text:string>").selectExpr("k", "r.text AS text"), secret="k")
+    assert [r.n_entities for r in got.orderBy("k").collect()] == [1, 2, 1]
 
 
 @pytest.mark.parametrize("text", ["std::vector a::b 10:30:15", "1 234 567 8901", "1.234.567.8901", "12:30:45:10", "sk-short ghp_short", "3 + 4 = 7, +5 000"])
 def test_other_forms_stay(spark, text):
-    assert S.replace(spark.createDataFrame([(text,)], "text string")).first().text == text
+    assert S.replace(spark.createDataFrame([(text,)], "text string"), secret="k").first().text == text
 
 
 @pytest.mark.parametrize("make", [lambda: "a" * 300_000, lambda: "sk-" * 100_000, lambda: "a@" + "b." * 100_000, lambda: "f" * 300_000, lambda: "a:" * 100_000, lambda: "é1" * 150_000])
 def test_open_ends_take_no_quadratic_time(spark, make):
-    assert S.replace(spark.createDataFrame([(make(),)], "text string")).count() == 1
+    assert S.replace(spark.createDataFrame([(make(),)], "text string"), secret="k").count() == 1
 
 
 def test_empty(empty):
-    assert S.replace(empty).count() == 0
+    assert S.replace(empty, secret="k").count() == 0
 
 
 def test_uses_no_python(spark, messy, texts):
-    plan = S.replace(messy(texts))._jdf.queryExecution().toString()
+    plan = S.replace(messy(texts), secret="k")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
