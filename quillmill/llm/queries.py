@@ -15,6 +15,7 @@ QUERIES = {
     "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_mixing": mixing.op9_mixing,
     "op10_chat": tool_calls.op10_chat,
+    "op10_linked": tool_calls.op10_linked,
 }
 
 _UP, _LOW = exact_dedup._UPPER, exact_dedup._LOWER
@@ -47,9 +48,28 @@ SELECT conv_id, turn, turn AS order_turn, 0 AS order_level, false AS cyclic, rol
        '{"content":' || CAST(to_json(text) AS VARCHAR) || ',"role":' || CAST(to_json(role) AS VARCHAR) || '}' AS json FROM conversations
 """
 
+# SQL for the table with calls that tool_calls.with_calls makes.  Calls that refer to the one before form runs of four
+# turns, in which a message comes after all that stand before it.
+OP10_LINKED_SQL = """
+WITH t AS (SELECT conv_id, turn, 10 * turn + 5 AS spot, 10 * turn + 5 + CASE WHEN (conv_id + turn) % 3 = 0 THEN -13 ELSE 2 END AS back,
+       turn % 6 <> 5 AS linked, turn % 7 = 6 AS unknown, turn % 5 = 2 AS wrong, CASE WHEN turn % 5 = 2 THEN 0 ELSE turn + 1 END AS k FROM conversations),
+w AS (SELECT *, coalesce(sum(1 + CAST(linked AS INTEGER)) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS level,
+      greatest(spot, coalesce(max(greatest(spot, CASE WHEN linked THEN back ELSE spot END)) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), spot)) AS call_turn
+      FROM t WINDOW r AS (PARTITION BY conv_id, turn // 4 ORDER BY turn))
+SELECT conv_id, spot AS turn, call_turn AS order_turn, CAST(level AS INTEGER) AS order_level, false AS cyclic, 'assistant' AS role, 1 AS calls_made,
+       CAST(linked AS INTEGER) AS calls_linked, CAST(unknown OR wrong AS INTEGER) AS calls_invalid,
+       CASE WHEN unknown THEN 'c' || turn || ' unknown tool' WHEN wrong THEN 'c' || turn || ' $.top_k: out of range' ELSE '' END AS faults, false AS orphan_result,
+       '{"content":"","role":"assistant","tool_calls":[{"arguments":{"query":' || CASE WHEN turn % 4 = 0 THEN '"q' || conv_id || '-' || turn || '"' ELSE '{"$ref":"c' || (turn - 1) || '"}' END
+       || ',"top_k":' || k || '},"id":"c' || turn || '","name":"' || CASE WHEN unknown THEN 'lookup' ELSE 'search' END || '"}]}' AS json FROM w
+UNION ALL
+SELECT conv_id, back, CASE WHEN linked THEN greatest(call_turn, back) ELSE back END, CAST(CASE WHEN linked THEN level + 1 ELSE 0 END AS INTEGER), false, 'tool', 0, 0, 0, '', NOT linked,
+       '{"content":"r' || turn || '","role":"tool","tool_call_id":"' || CASE WHEN linked THEN 'c' ELSE 'x' END || turn || '"}' FROM w
+"""
+
 SQL = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op7_html": OP7_SQL,
     "op8_near_dedup": OP8_SQL,
     "op10_chat": OP10_SQL,
+    "op10_linked": OP10_LINKED_SQL,
 }

@@ -9,10 +9,10 @@ Messages are ordered topologically: a result comes after its call, and a call af
 results that its arguments name, as ``{"$ref": identifier}``.  The order is given by
 three columns.  ``order_turn`` is the latest turn among a message and all that must come
 before it, ``order_level`` the length of the longest chain of such messages, and then the
-turn itself; a conversation whose turns are in order already keeps them.  Levels are
-peeled off round by round over the edges alone, so no conversation has to fit in a task;
-what is left when nothing more comes free waits on a cycle, and is marked and left at
-its turn.
+turn itself; a conversation whose turns are in order already keeps them.  Chains, in which
+every message waits for one other, are contracted by pointer doubling; messages that wait
+for several are then peeled off round by round.  Only edges are looked at, so no conversation
+has to fit in a task.  What waits on a cycle is marked and left at its turn.
 
 Arguments are checked against the tool's schema (a subset of JSON Schema: type,
 properties, required, additionalProperties, items, enum, const, minimum, maximum,
@@ -172,22 +172,85 @@ def link(parts: DataFrame) -> DataFrame:
     return joined.groupBy("conv_id", "id").agg(F.first("c").alias("c"), best.alias("r")).select("conv_id", "id", "c.name", "c.wrong", "c.refs", F.col("c.node").alias("call"), F.col("c.turn").alias("call_turn"), F.col("r.rnode").alias("result"))
 
 
+class _Done:
+    """Rows that are final, in tables of which none is as large as the sum of those behind it: a row is written again log times."""
+
+    def __init__(self, first: DataFrame) -> None:
+        self.parts: list[tuple[int, DataFrame]] = [(1, first)]
+
+    def add(self, more: DataFrame) -> None:
+        size = 1
+        while self.parts and self.parts[-1][0] <= size:
+            n, last = self.parts.pop()
+            more, size = stage(last.unionByName(more), "done"), size + n
+        self.parts.append((size, more))
+
+    def table(self) -> DataFrame:
+        out = self.parts[0][1]
+        for _, part in self.parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+
+def chains(touched: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes with one edge into them, and what they hang on, by pointer doubling.
+
+    ``(node, at, steps, most)``: the nearest node before it that has none or several edges
+    into it, how many edges away, and the latest turn on the way, its own included; and the
+    nodes that go round in a circle or come after one.  A chain of n takes log n rounds.
+    """
+    single = edges.groupBy("after").agg(F.min("before").alias("at"), F.count("*").alias("n")).where("n = 1").drop("n").withColumnRenamed("after", "node")
+    now = stage(single.join(touched, "node").select("node", "at", F.lit(1).cast("long").alias("steps"), F.col("turn").alias("most")), "chains")
+    rounds = int(now.count()).bit_length()
+    for _ in range(rounds + 1):
+        ahead = now.select(F.col("node").alias("at"), F.col("at").alias("next"), F.col("steps").alias("s"), F.col("most").alias("m"))
+        joined = now.join(ahead, "at", "left")
+        step = joined.select("node", F.coalesce("next", "at").alias("at"), (F.col("steps") + F.coalesce("s", F.lit(0))).alias("steps"), F.greatest("most", "m").alias("most"), F.col("next").isNotNull().alias("open"))
+        step = stage(step, "chains")
+        if not step.where("open").limit(1).count():
+            return step.drop("open"), step.select("node").limit(0)
+        now = step.drop("open")
+    return step.where("NOT open").drop("open"), step.where("open").select("node")
+
+
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(node, order_turn, order_level, cyclic)`` for the nodes (node, turn) that edges (before, after) touch."""
+    """``(node, order_turn, order_level, cyclic)`` for the nodes (node, turn) that edges (before, after) touch.
+
+    Chains are contracted first, so rounds are as many as there are messages in a row that
+    wait for several others.
+    """
     edges = stage(edges.distinct(), "edges")
     touched = nodes.join(edges.select(F.explode(F.array("before", "after")).alias("node")).distinct(), "node").select("node", "turn").dropDuplicates(["node"])
     touched = stage(touched, "touched")
-    waiting = edges.select(F.col("after").alias("node")).distinct()
-    done = stage(touched.join(waiting, "node", "left_anti").select("node", F.col("turn").alias("order_turn"), F.lit(0).alias("order_level")), "done")
-    while True:
-        left = touched.join(done, "node", "left_anti")
-        known = edges.join(left.select(F.col("node").alias("after")), "after").join(done.withColumnRenamed("node", "before"), "before", "left")
-        free = known.groupBy(F.col("after").alias("node")).agg(F.max("order_turn").alias("t"), (F.max("order_level") + 1).alias("order_level"), F.count_if(F.col("order_level").isNull()).alias("open")).where("open = 0")
-        more = stage(left.join(free, "node").select("node", F.greatest("turn", "t").alias("order_turn"), "order_level"), "more")
+    hung, stuck = chains(touched, edges)
+    several = edges.groupBy("after").agg(F.count("*").alias("n")).where("n > 1").select(F.col("after").alias("node"))
+    first = touched.join(edges.select(F.col("after").alias("node")).distinct(), "node", "left_anti")
+    done = _Done(stage(first.select("node", F.col("turn").alias("order_turn"), F.lit(0).cast("long").alias("order_level")), "done"))
+    joins = stage(several.join(touched, "node"), "joins")
+    # edges into these, each from what its chain hangs on
+    into = edges.join(joins.select(F.col("node").alias("after")), "after").join(touched.select(F.col("node").alias("before"), F.col("turn").alias("own")), "before")
+    way = hung.select(F.col("node").alias("before"), "at", "steps", "most")
+    into = into.join(way, "before", "left").select("after", F.coalesce("at", "before").alias("before"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"), F.coalesce("most", "own").alias("most"))
+    into = stage(into, "into")
+    while joins.limit(1).count():
+        known = into.join(joins.select(F.col("node").alias("after")), "after").join(done.table().withColumnRenamed("node", "before"), "before", "left")
+        free = known.groupBy(F.col("after").alias("node")).agg(
+            F.max(F.greatest("order_turn", "most")).alias("t"),
+            F.max(F.col("order_level") + F.col("steps")).alias("order_level"),
+            F.count_if(F.col("order_level").isNull()).alias("open"),
+        )
+        more = stage(joins.join(free.where("open = 0"), "node").select("node", F.greatest("turn", "t").alias("order_turn"), "order_level"), "more")
         if not more.limit(1).count():
-            stuck = left.select("node", F.col("turn").alias("order_turn"), F.lit(0).alias("order_level"), F.lit(True).alias("cyclic"))
-            return done.withColumn("cyclic", F.lit(False)).unionByName(stuck)
-        done = stage(done.unionByName(more), "done")
+            break
+        joins = stage(joins.join(more.select("node"), "node", "left_anti"), "joins")
+        done.add(more)
+    known = done.table()
+    ends = known.select(F.col("node").alias("at"), F.col("order_turn").alias("t"), F.col("order_level").alias("l"))
+    along = hung.join(ends, "at", "left").select("node", F.greatest("t", "most").alias("order_turn"), (F.col("l") + F.col("steps")).alias("order_level"))
+    placed = known.unionByName(along.where("order_level IS NOT NULL")).withColumn("cyclic", F.lit(False))
+    waits = along.where("order_level IS NULL").select("node").unionByName(joins.select("node")).unionByName(stuck)
+    waits = waits.join(touched, "node").select("node", F.col("turn").alias("order_turn"), F.lit(0).cast("long").alias("order_level"), F.lit(True).alias("cyclic"))
+    return placed.unionByName(waits).withColumn("order_level", F.col("order_level").cast("int"))
 
 
 def format_chat(conversations: DataFrame, schemas: dict | None = None) -> DataFrame:
@@ -225,3 +288,30 @@ def format_chat(conversations: DataFrame, schemas: dict | None = None) -> DataFr
 def op10_chat(spark, sf_dir: str) -> DataFrame:
     """Query: every message of every conversation as canonical JSON, ordered and linked."""
     return format_chat(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def with_calls(conversations: DataFrame) -> DataFrame:
+    """A table with calls, made of (conv_id, turn) of conversations alone: each row becomes a call and its result.
+
+    Every third result comes before its call, every sixth names no call; of four calls in a row the later ones refer to
+    the one before; some have arguments out of range, some name a tool that no schema is known of.
+    """
+    c, t = F.col("conv_id"), F.col("turn")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    query = F.when(t % 4 == 0, text('"q', c, "-", t, '"')).otherwise(text('{"$ref": "c', t - 1, '"}'))
+    name = F.when(t % 7 == 6, "lookup").otherwise("search")
+    k = F.when(t % 5 == 2, 0).otherwise(t + 1)
+    call = text('{"tool_calls": [{"id": "c', t, '", "name": "', name, '", "arguments": {"top_k": ', k, ', "query": ', query, "}}]}")
+    answer = text('{"tool_call_id": "', F.when(t % 6 == 5, "x").otherwise("c"), t, '", "content": "r', t, '"}')
+    at = 10 * t + 5
+    back = at + F.when((c + t) % 3 == 0, -13).otherwise(2)
+    made = F.array(
+        F.struct(at.alias("turn"), F.lit("assistant").alias("role"), call.alias("text")),
+        F.struct(back.alias("turn"), F.lit("tool").alias("role"), answer.alias("text")),
+    )
+    return conversations.select("conv_id", F.inline(made))
+
+
+def op10_linked(spark, sf_dir: str) -> DataFrame:
+    """Query: the same over a table in which every message is a call or a result, made of the given conversations."""
+    return format_chat(with_calls(spark.read.parquet(f"{sf_dir}/conversations.parquet")))

@@ -65,6 +65,58 @@ def test_order_against_brute_force(spark):
         assert place[x] == (max(chain), len(chain) - 1)
 
 
+def test_messages_that_wait_for_several(spark):
+    """Levels and turns against a plain topological order, cycles and all that come after them included."""
+    import random
+
+    r = random.Random(11)
+    edges = {(f"n{j}", f"n{k}") for k in range(60) for j in r.sample(range(k), min(k, r.choice([0, 1, 1, 2, 3])))}
+    edges |= {(f"m{k}", f"m{k + 1}") for k in range(20)} | {("m20", "n59"), ("z1", "z2"), ("z2", "z1"), ("z2", "z3"), ("z3", "n58"), ("s", "s")}
+    names = sorted({x for e in edges for x in e})
+    turn = {x: None if k % 17 == 0 else r.randrange(1000) for k, x in enumerate(names)}
+    before = {x: [a for a, b in edges if b == x] for x in names}
+    want, open_ = {}, set(names)
+    while ready := [x for x in open_ if all(b in want for b in before[x])]:
+        for x in ready:
+            turns = [t for t in [turn[x], *(want[b][0] for b in before[x])] if t is not None]
+            want[x] = (max(turns, default=None), max((want[b][1] + 1 for b in before[x]), default=0), False)
+        open_ -= set(ready)
+    want |= {x: (turn[x], 0, True) for x in open_}
+    nodes = spark.createDataFrame([(x, turn[x]) for x in names] + [("alone", 5)], "node string, turn long")
+    got = C.levels(nodes, spark.createDataFrame(sorted(edges) + sorted(edges)[:3], "before string, after string"))
+    assert {x.node: (x.order_turn, x.order_level, x.cyclic) for x in got.collect()} == want
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    staged = []
+    whole = C.stage
+    monkeypatch.setattr(C, "stage", lambda df, label: staged.append(label) or whole(df, label))
+    n = 10_000
+    nodes = spark.range(n).selectExpr("CAST(id AS string) AS node", "(id * 7919) % 10007 AS turn")
+    edges = spark.range(1, n).selectExpr("CAST(id - 1 AS string) AS before", "CAST(id AS string) AS after")
+    got = {int(x.node): (x.order_turn, x.order_level) for x in C.levels(nodes, edges).collect()}
+    top = 0
+    for k in range(n):
+        top = max(top, k * 7919 % 10007)
+        assert got[k] == (top, k)
+    assert len(staged) < 25
+
+
+def test_linked_query_against_its_sql(spark, tiny):
+    import duckdb
+
+    from quillmill.llm.queries import OP10_LINKED_SQL
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tiny}/conversations.parquet')")
+    df = C.op10_linked(spark, tiny)
+    names = sorted(df.columns)
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({OP10_LINKED_SQL})").fetchall()
+    got = df.select(*names).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert sum(r.calls_linked for r in got) > 0 and any(r.faults for r in got) and any(r.order_turn != r.turn for r in got) and any(r.orphan_result for r in got)
+
+
 def test_odd_rows(spark):
     long = "x" * 200_000
     rows = [(None, None, None, None), (1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "assistant", '{"tool_calls": 3}'), (1, 2, "user", "{bad"), (1, 3, "assistant", '{"tool_calls": [{"id": 1}]}'), (1, 4, "user", long), (1, 5, "user", '{"a": NaN, "tool_calls": []}'), (1, 6, "tool", "[" * 5000), (1, 7, "user", "")]
