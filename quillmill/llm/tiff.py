@@ -29,7 +29,9 @@ from pyspark.sql import types as T
 from quillmill.llm.flat import flat, map_arrow
 
 # Fixed values of TIFF 6.0: tags, compressions, and the size of each field type.
-WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PLANAR, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284, 317, 322, 323, 324, 325
+WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC = 256, 257, 258, 259, 262
+STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PLANAR, PREDICTOR = 273, 277, 278, 279, 284, 317
+TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS = 322, 323, 324, 325
 NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 TYPE_SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 ROW = 192
@@ -172,10 +174,39 @@ class Layout:
     rows_per_page: int = 4096
     rows_per_strip: int = 256
     tile: int = 0
-
-
-def write_pages(pages: list[np.ndarray], how: Layout = Layout(), order: str = "<") -> bytes:
+    order: str = "<"
+
+
+# Every codec, strips and tiles, both predictors and byte orders, and pages of several sizes.  LZW and PackBits are
+# written and read in plain Python and have two places of sixteen each.
+LAYOUTS = (
+    Layout(),
+    Layout(rows_per_page=16),
+    Layout(rows_per_page=64, rows_per_strip=8, order=">"),
+    Layout(predictor=1),
+    Layout(predictor=1, rows_per_page=32, order=">"),
+    Layout(tile=16, rows_per_page=64),
+    Layout(tile=32, predictor=1),
+    Layout(tile=64, order=">"),
+    Layout(level=6),
+    Layout(level=6, rows_per_page=128, rows_per_strip=32),
+    Layout(rows_per_strip=1, rows_per_page=256),
+    Layout(NONE, predictor=1, rows_per_page=512),
+    Layout(LZW, predictor=1, rows_per_page=128, rows_per_strip=64),
+    Layout(LZW, tile=32, order=">"),
+    Layout(PACKBITS, predictor=1, rows_per_strip=16),
+    Layout(PACKBITS, tile=16, rows_per_page=64, order=">"),
+)
+
+
+def layout_of(payload: bytes) -> Layout:
+    """The layout of a payload, by its content: equal payloads have equal files."""
+    return LAYOUTS[zlib.crc32(payload, 5) % len(LAYOUTS)]
+
+
+def write_pages(pages: list[np.ndarray], how: Layout = Layout(), order: str | None = None) -> bytes:
     """A TIFF of pages of shape (rows, pixels, samples)."""
+    order = order or how.order
     out = bytearray(b"II*\0" if order == "<" else b"MM\0*") + struct.pack(order + "I", 0)
     link = 4
     for page in pages:
@@ -358,8 +389,11 @@ def pages(df: DataFrame, media_col: str) -> DataFrame:
 STORED = "n_bytes long, payload_bytes long, media binary"
 
 
-def store(df: DataFrame, text_col: str, how: Layout = Layout(), carry: list[str] | None = None) -> DataFrame:
-    """The carried columns and the text's padded bytes as a TIFF: n_bytes (unpadded), payload_bytes, media."""
+def store(df: DataFrame, text_col: str, how: Layout | None = None, carry: list[str] | None = None) -> DataFrame:
+    """The carried columns and the text's padded bytes as a TIFF: n_bytes (unpadded), payload_bytes, media.
+
+    Without a layout each payload has one of LAYOUTS, by its content.
+    """
     source = df.select(*[F.col(f"`{c}`") for c in (carry or [])], F.col(f"`{text_col}`").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,7 +403,7 @@ def store(df: DataFrame, text_col: str, how: Layout = Layout(), carry: list[str]
                 whole = raw.tobytes()
                 texts = [whole[at[k] : at[k + 1]] for k in range(part.num_rows)]
                 padded = [pad(t) for t in texts]
-                media = [write_pages(payload_pages(p, how), how) for p in padded]
+                media = [write_pages(payload_pages(p, x), x) for p, x in ((p, how or layout_of(p)) for p in padded)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([len(t) for t in texts], pa.int64()), pa.array([len(p) for p in padded], pa.int64()), pa.array(media, pa.binary())], names=[*b.schema.names[:-1], "n_bytes", "payload_bytes", "media"])
 
     return map_arrow(source, run, T.StructType([*source.schema.fields[:-1], *T._parse_datatype_string(STORED).fields]))
@@ -385,29 +419,60 @@ def _parts(b: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
         i = j
 
 
-DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+DIGEST = "doc_id long, n_bytes long, payload_bytes long, media_bytes long, media_sha256 string, payload_sha256 string, tail_crc32 long, feature string"
+
+
+class _Read:
+    """What the pages of one file amount to."""
+
+    def __init__(self, row: tuple) -> None:
+        self.row, self.sha, self.tail = row, hashlib.sha256(), b""
+        self.marks: list[str] = []
+        self.wide = self.high = 0
+
+    def add(self, pixels: bytes, wide: int, high: int, mark: str) -> None:
+        self.sha.update(pixels)
+        self.tail = (self.tail + pixels[-16:])[-16:]
+        self.marks.append(mark)
+        self.wide, self.high = wide, self.high + high
+
+    def out(self) -> tuple:
+        return (*self.row, self.sha.hexdigest(), zlib.crc32(self.tail), f"{len(self.marks)}x{self.wide}x{self.high}:" + ",".join(self.marks))
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n_bytes, payload_bytes, media) -> DIGEST; payload and features come from the pages read back."""
+    """Rows of pages in their order, five columns of the file before them -> DIGEST.  Holds one file's digests."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    names = [f.split()[0] for f in DIGEST.split(", ")]
+    now, rows = None, []
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
     for b in batches:
-        rows = []
-        for doc, n, size, media in zip(*(c.to_pylist() for c in b.columns[:3]), b.column(3), strict=True):
-            data = media.as_py()
-            sha, tail, marks, wide, high = hashlib.sha256(), b"", [], 0, 0
-            for p in read_pages(data):
-                got = p.pixels.tobytes()
-                sha.update(got)
-                tail = (tail + got)[-16:]
-                marks.append(page_feature(p.pixels))
-                wide, high = p.pixels.shape[1], high + p.pixels.shape[0]
-            rows.append((doc, n, size, sha.hexdigest(), zlib.crc32(tail), len(data), hashlib.sha256(data).hexdigest(), f"{len(marks)}x{wide}x{high}:" + ",".join(marks)))
+        own = list(zip(*(c.to_pylist() for c in b.columns[:5]), strict=True))
+        page, wide, high, mark, error = (b.column(b.schema.get_field_index(n)).to_pylist() for n in ("page", "width", "height", "feature", "error"))
+        pixels = b.column(b.schema.get_field_index("pixels"))
+        for k in range(b.num_rows):
+            if error[k] is not None:
+                raise TiffError(error[k])  # what store() wrote is read
+            if page[k] == 0:
+                if now is not None:
+                    rows.append(now.out())
+                now = _Read(own[k])
+            now.add(pixels[k].as_py(), wide[k], high[k], mark[k])
         if rows:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in DIGEST.split(", ")])
+            yield out()
+            rows = []
+    if now is not None:
+        rows.append(now.out())
+        yield out()
 
 
 def op5_tiff(spark, sf_dir: str) -> DataFrame:
-    """Query: every text as a TIFF, read back; digests of what was read, and of the file."""
+    """Query: every text as a TIFF of one of LAYOUTS, read back page by page; digests of what was read, and of the file."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return store(docs, "text", carry=["doc_id"]).mapInArrow(_digest, DIGEST)
+    stored = store(docs, "text", carry=["doc_id"])
+    files = stored.select("doc_id", "n_bytes", "payload_bytes", F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "media")
+    # the pages of a file come one after another within the task that wrote it: nothing is shuffled
+    return pages(files, "media").mapInArrow(_digest, DIGEST)

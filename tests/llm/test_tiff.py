@@ -81,6 +81,17 @@ def test_stored_texts_and_query(spark, messy, texts, tiny, tmp_path):
         assert same.setdefault(r.payload_sha256, (r.media_sha256, r.feature)) == (r.media_sha256, r.feature)
 
 
+def test_layouts_of_the_query_are_all_used(spark, tiny):
+    """Every codec, strips and tiles, several pages: and each file is read back page by page."""
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    read = T.pages(T.store(docs, "text", carry=["doc_id"]), "media")
+    kinds = {(r.compression, r.predictor) for r in read.select("compression", "predictor").distinct().collect()}
+    assert {c for c, _ in kinds} == {T.NONE, T.LZW, T.DEFLATE, T.PACKBITS} and {p for _, p in kinds} == {1, 2}
+    many = T.op5_tiff(spark, tiny).where("CAST(split(feature, 'x')[0] AS int) > 1").count()
+    assert many > 0 and read.where("error IS NOT NULL").count() == 0
+    assert {how.order for how in T.LAYOUTS} == {"<", ">"} and {bool(how.tile) for how in T.LAYOUTS} == {True, False}
+
+
 def test_feature_sees_the_picture():
     a = np.zeros((16, 64, 3), np.uint8)
     a[:8] = 200
