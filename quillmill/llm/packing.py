@@ -1,7 +1,8 @@
 """Conflict-constrained best-fit packing of documents into training sequences.
 
-Documents go to shards of a few thousand rows by a hash, so that a shard has its share
-of every source and needs no more than its own bins.  Within a shard they are placed
+Documents go to shards of a few thousand rows by a hash of id, length and cluster, so that
+a shard has its share of every source and needs no more than its own bins; rows equal in all
+three that are very many are dealt to all shards.  Within a shard they are placed
 longest first.  Open bins are kept in the order of their residual; each carries a bitmap
 of the sources and one of the duplicate clusters that it has.  The search starts at the
 least residual that fits and goes on to the next until it finds a bin with neither the
@@ -23,8 +24,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmill.staging import stage
+
 CAPACITY = 2048
 SHARD_ROWS = 4096
+MOST_EQUAL = 16  # rows equal in id, length and cluster that are more than a 16th of a shard are dealt to all shards
 PLACED = "doc_id long, piece int, first_token long, n_tokens long, source string, cluster long, bin_id long, at long"
 
 
@@ -39,17 +43,17 @@ def copy_cluster(text: Column) -> Column:
 
 
 class Bins:
-    """Open bins in the order of their residual."""
+    """Open bins in the order of their residual, and of one residual by what they carry, so that a conflict is told once for all bins alike."""
 
     def __init__(self, capacity: int) -> None:
         self.capacity = capacity
-        self.levels: dict[int, dict[int, list[list[int]]]] = {}  # residual -> source bitmap -> [cluster bitmap, number]
+        self.levels: dict[int, dict[tuple[int, int], list[int]]] = {}  # residual -> bitmaps of sources and clusters -> bins
         self.present = 0  # bit r: some bin has the residual r
         self.count = 0
 
-    def _put(self, residual: int, sources: int, bin_: list[int]) -> None:
+    def _put(self, residual: int, carried: tuple[int, int], bin_: int) -> None:
         if residual:
-            self.levels.setdefault(residual, {}).setdefault(sources, []).append(bin_)
+            self.levels.setdefault(residual, {}).setdefault(carried, []).append(bin_)
             self.present |= 1 << residual
 
     def place(self, need: int, source: int, cluster: int) -> tuple[int, int]:
@@ -58,24 +62,20 @@ class Bins:
         while later:
             residual = need + (later & -later).bit_length() - 1
             level = self.levels[residual]
-            for sources, bins in level.items():
-                if sources & source:
-                    continue
-                for k, bin_ in enumerate(bins):
-                    if not bin_[0] & cluster:
-                        bins[k] = bins[-1]
-                        bins.pop()
-                        if not bins:
-                            del level[sources]
-                            if not level:
-                                del self.levels[residual]
-                                self.present &= ~(1 << residual)
-                        bin_[0] |= cluster
-                        self._put(residual - need, sources | source, bin_)
-                        return bin_[1], self.capacity - residual
+            carried = next((c for c in level if not (c[0] & source or c[1] & cluster)), None)
+            if carried is not None:
+                bins = level[carried]
+                bin_ = bins.pop()
+                if not bins:
+                    del level[carried]
+                    if not level:
+                        del self.levels[residual]
+                        self.present &= ~(1 << residual)
+                self._put(residual - need, (carried[0] | source, carried[1] | cluster), bin_)
+                return bin_, self.capacity - residual
             later &= later - 1
         self.count += 1
-        self._put(self.capacity - need, source, [cluster, self.count - 1])
+        self._put(self.capacity - need, (source, cluster), self.count - 1)
         return self.count - 1, 0
 
 
@@ -112,8 +112,14 @@ def pack(docs: DataFrame, *, capacity: int = CAPACITY, shard_rows: int = SHARD_R
         (F.col("source") if source is None else source).cast("string").alias("source"),
         (copy_cluster(text) if cluster is None else cluster).cast("long").alias("cluster"),
     )
-    shards = max(1, -(-docs.count() // shard_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "n", "cluster"), F.lit(shards)))
+    # numbers alone: texts are read once
+    rows = stage(rows.withColumn("salt", F.monotonically_increasing_id()), "lengths")
+    shards = max(1, -(-rows.count() // shard_rows))
+    # a row that is there very often is dealt to all shards; there are at most shards * MOST_EQUAL such rows
+    often = rows.groupBy("doc_id", "n", "cluster").agg(F.count("*").alias("times")).where(F.col("times") > shard_rows // MOST_EQUAL)
+    often = often.select(F.xxhash64("doc_id", "n", "cluster").alias("key")).distinct().withColumn("often", F.lit(True))
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "n", "cluster")).join(often, "key", "left")
+    rows = rows.withColumn("shard", F.pmod(F.when(F.col("often"), F.xxhash64("key", "salt")).otherwise(F.col("key")), F.lit(shards))).drop("key", "often", "salt")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "cluster", "source"], na_position="last", kind="stable").reset_index(drop=True)

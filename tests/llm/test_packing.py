@@ -60,6 +60,18 @@ def test_is_the_tightest_compatible_bin():
             bins[b][2].add(clusters[i])
 
 
+def test_equal_rows_are_spread_and_take_no_quadratic_time(spark):
+    import time
+
+    docs = spark.range(6000).selectExpr("5L AS doc_id", "'one two three' AS text", "CAST(NULL AS string) AS source")
+    rows = P.pack(docs, shard_rows=500).collect()
+    shards = {r.bin_id >> 32 for r in rows}
+    assert len(rows) == len({r.bin_id for r in rows}) == 6000 and len(shards) == 12
+    began = time.time()
+    placed = P.pack_shard([7] * 40_000, [None] * 40_000, [3] * 40_000, 2048)
+    assert len({x[3] for x in placed}) == 40_000 and time.time() - began < 5
+
+
 def test_long_documents_are_cut(spark):
     docs = spark.createDataFrame([(1, "w " * 25, "s"), (2, "v " * 4, "t")], "doc_id long, text string, source string")
     rows = sorted(P.pack(docs, capacity=10).collect(), key=lambda r: (r.doc_id, r.piece))
