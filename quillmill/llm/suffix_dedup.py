@@ -26,6 +26,14 @@ in common, so these bytes join the key, and the letters left are fewer by as man
 All intermediate tables are numbers: (hash, text key, place).  Texts move twice: all of them
 once, joined with the places found in them, and the few that have such places again.
 
+**Passages.**  Passages of over 50 words that other documents have too may be shorter than
+LENGTH: they are counted, not removed.  Of RUNS neighbouring runs of RUN words the one with
+the least hash is taken, so that whatever 51 words two documents share, they have a taken run
+in common.  White space between words may differ.
+
+Hashes of 64 bits tell texts, grams, contexts and runs apart; equal whole texts are told by
+SHA-256, and the letters that are sorted are compared one by one.
+
 Defined cases: null counts as empty.  Texts shorter than LENGTH lose nothing.  Equal texts
 of at least LENGTH bytes, repeated rows among them, lose everything.  Matches never cross
 documents; within one they may overlap.  Null and repeated ids are allowed: rows are told
@@ -42,11 +50,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.flat import _power, _SPREAD, mix, slices
+from quillmill.llm.flat import _power, _SPREAD, mix, slices, words
 from quillmill.staging import drop, stage
 
 LENGTH, GRAM = 400, 300
 SIDE = LENGTH - GRAM
+RUN, RUNS = 40, 12  # words of a run, and how many runs in a row of which one is taken: together 51 words
 LETTERS = 1 << 19  # letters that are sorted at a time
 NARROW = 10  # the side of a range of a group that is dealt again
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -212,12 +221,12 @@ def _prefix(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return total, inverse
 
 
-def grams(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def grams(raw: np.ndarray, at: np.ndarray, sums: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(document, place, hash, context hash, bytes ahead and behind)`` of the grams that are least in a window."""
     none = np.zeros(0, np.int64)
     if len(raw) < LENGTH:
         return none, none, none.astype(np.uint64), none.astype(np.uint64), none.reshape(0, 2)
-    total, inverse = _prefix(raw)
+    total, inverse = sums or _prefix(raw)
     m = len(raw) - GRAM + 1
     end = np.repeat(at[1:], np.diff(at))[:m]
     place = np.arange(m)
@@ -239,6 +248,32 @@ def contexts_at(total: np.ndarray, inverse: np.ndarray, p: np.ndarray, begin: np
     return mix(mix((total[last] - total[first]) * inverse[first]) + a.astype(np.uint64) * _ODD + b.astype(np.uint64)), a, b
 
 
+def runs(raw: np.ndarray, at: np.ndarray, sums: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """``(document, hash)`` of the runs of RUN words that are least of RUNS neighbours, each once for a document."""
+    start, end, first = words(raw, at)
+    m = len(start) - RUN + 1
+    if m < RUNS:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    total, inverse = sums
+    word = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    power, back = _power(len(word) + 1)
+    along = np.zeros(len(word) + 1, np.uint64)
+    np.cumsum(word * power[: len(word)], out=along[1:])
+    place = np.arange(m)
+    last = np.repeat(first[1:], np.diff(first))[:m]
+    h = mix((along[RUN:] - along[:m]) * back[:m]) | np.uint64(1)
+    h[place + RUN > last] = _TOP
+    low = _slide(h, RUNS, np.minimum, _TOP)
+    low[place + RUN + RUNS - 1 > last] = 0
+    high = _slide(np.ascontiguousarray(low[::-1]), RUNS, np.maximum, np.uint64(0))[::-1]
+    p = np.flatnonzero((h == high) & (high > 0))
+    doc, h = np.searchsorted(first, p, "right") - 1, h[p]
+    order = np.lexsort((h, doc))
+    doc, h = doc[order], h[order]
+    once = np.r_[True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])][: len(doc)]
+    return doc[once], h[once]
+
+
 PACK = "bucket int, kind int, n int, body binary"
 
 
@@ -269,7 +304,8 @@ def _pack_batch(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.binary())], names=["bucket", "kind", "n", "body"])
 
 
-GRAM_KINDS, SPAN_KINDS = [np.uint64, np.int64, np.int32], [np.int64, np.int32, np.int32]
+GRAM_KINDS, SPAN_KINDS, RUN_KINDS = [np.uint64, np.int64, np.int32], [np.int64, np.int32, np.int32], [np.uint64, np.int64, np.int32]
+PASSAGES = -1  # in place of a span's last start: the row counts passages
 
 
 def _spans(key, pos, a, b) -> list[np.ndarray]:
@@ -282,37 +318,56 @@ def _spans(key, pos, a, b) -> list[np.ndarray]:
 def _find_grams(count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        taken: list[tuple] = []
         size = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            key, pos, h, ctx, ab = (np.concatenate(x) for x in zip(*held, strict=True))
-            both = mix(h ^ (ctx * _ODD))
-            _, first, inverse, times = np.unique(both, return_index=True, return_inverse=True, return_counts=True)
-            again = times[inverse] > 1
-            # the same text's same place, once
-            spans = np.unique(np.stack(_spans(key[again], pos[again], ab[again, 0], ab[again, 1]), 1), axis=0)
-            rows = list(_packed((mix(spans[:, 0].astype(np.uint64)) % np.uint64(count)).astype(np.int64), count, 1, [spans[:, 0], spans[:, 1].astype(np.int32), spans[:, 2].astype(np.int32)]))
-            h0 = h[first] | (times > 1).astype(np.uint64)  # the last bit: there are equals already
-            rows += _packed(((h[first] >> np.uint64(8)) % np.uint64(count)).astype(np.int64), count, 0, [h0, key[first], pos[first].astype(np.int32)])
+            rows = []
+            if held:
+                key, pos, h, ctx, ab = (np.concatenate(x) for x in zip(*held, strict=True))
+                both = mix(h ^ (ctx * _ODD))
+                _, first, inverse, times = np.unique(both, return_index=True, return_inverse=True, return_counts=True)
+                again = times[inverse] > 1
+                # the same text's same place, once
+                spans = np.unique(np.stack(_spans(key[again], pos[again], ab[again, 0], ab[again, 1]), 1), axis=0)
+                by_key = (mix(spans[:, 0].astype(np.uint64)) % np.uint64(count)).astype(np.int64)
+                rows += _packed(by_key, count, 1, [spans[:, 0], spans[:, 1].astype(np.int32), spans[:, 2].astype(np.int32)])
+                h0 = h[first] | (times > 1).astype(np.uint64)  # the last bit: there are equals already
+                rows += _packed(((h[first] >> np.uint64(8)) % np.uint64(count)).astype(np.int64), count, 0, [h0, key[first], pos[first].astype(np.int32)])
+            if taken:
+                key, h = (np.concatenate(x) for x in zip(*taken, strict=True))
+                h, key, times = _counted(h, key, np.ones(len(h), np.int64))
+                rows += _packed(((h >> np.uint64(8)) % np.uint64(count)).astype(np.int64), count, 2, [h, key, times.astype(np.int32)])
             if rows:
                 yield _pack_batch(rows)
 
         for batch in batches:
             keys = batch.column(0).to_numpy()
             for i, raw, at in slices(batch.column(1)):
-                doc, pos, h, ctx, ab = grams(raw, at)
+                sums = _prefix(raw)
+                doc, pos, h, ctx, ab = grams(raw, at, sums)
                 if len(doc):
                     held.append((keys[i + doc], pos, h, ctx, ab))
-                    size += len(doc)
+                owner, run_hash = runs(raw, at, sums)
+                if len(owner):
+                    taken.append((keys[i + owner], run_hash))
+                size += len(doc) + len(owner)
                 if size > 1 << 20:
                     yield from out()
-                    held, size = [], 0
-        if held:
-            yield from out()
+                    held, taken, size = [], [], 0
+        yield from out()
 
     return run
 
 
+def _counted(h: np.ndarray, key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of hash and key, in this order, and the sum of their times."""
+    order = np.lexsort((key, h))
+    h, key, times = h[order], key[order], times[order]
+    lead = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (key[1:] != key[:-1])])
+    return h[lead], key[lead], np.add.reduceat(times, lead)
+
+
 PLACES = "key long, pos int, h long, multi boolean, last int"
 
 
@@ -322,15 +377,24 @@ def _places(key, pos, h, multi, last) -> pa.RecordBatch:
 
 
 def _repeated_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places of grams that occur twice or more; spans found already are handed on."""
-    parts = []
+    """Places of grams that occur twice or more; the number of each text's runs that several documents have; spans found already are handed on."""
+    parts, taken = [], []
     for b in batches:
         for kind, n, body in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3), strict=True):
             if kind == 0:
                 parts.append(_unpacked(body.as_py(), n, GRAM_KINDS))
+            elif kind == 2:
+                taken.append(_unpacked(body.as_py(), n, RUN_KINDS))
             else:
                 key, first, last = _unpacked(body.as_py(), n, SPAN_KINDS)
                 yield _places(key, first, None, None, last)
+    if taken:
+        h, key, docs = _counted(*(np.concatenate(x) for x in zip(*taken, strict=True)))
+        taken = []
+        lead = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        several = np.repeat(np.add.reduceat(docs, lead) > 1, np.diff(np.r_[lead, len(h)]))
+        key, n = np.unique(key[several], return_counts=True)
+        yield _places(key, n.astype(np.int32), None, None, np.full(len(key), PASSAGES, np.int32))
     if parts:
         h, key, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
         # copies of a text bring the same place more than once; a mark on one of them is kept
@@ -482,17 +546,24 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
-    """``(id, n_bytes, n_removed, n_spans, kept_sha256, spans)``: what of each row's text repeats, as byte ranges."""
+    """``(id, n_bytes, n_removed, n_spans, kept_sha256, spans, n_passages)``: what of each row's text repeats, as byte ranges.
+
+    ``n_passages``: how many of the runs of words taken from the text other documents have too; none means that there is no
+    passage of over 50 words in common.
+    """
     spark = docs.sparkSession
     count = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    long = rows.select(F.xxhash64("text").alias("key"), "text").where(F.octet_length("text") >= LENGTH)
+    keyed = rows.select(F.xxhash64("text").alias("key"), "text")
+    long = keyed.where(F.octet_length("text") >= LENGTH)
+    worded = keyed.where(F.octet_length("text") >= 2 * (RUN + RUNS - 1) - 1)  # room for that many words
     deal = lambda df, f, schema: df.repartition(count, "bucket").mapInArrow(f, schema)
-    found = stage(deal(long.mapInArrow(_find_grams(count), PACK), _repeated_grams, PLACES), "grams")
+    found = stage(deal(worded.mapInArrow(_find_grams(count), PACK), _repeated_grams, PLACES), "grams")
     own = found.where("h IS NOT NULL").groupBy("key").agg(F.collect_list(F.struct("pos", "h", "multi")).alias("places"))
     # every text that has a span found already has a place too, or is found through its spans
-    touched = found.where("h IS NULL").select("key").distinct().join(own, "key", "full_outer")
+    spans_found = found.where(f"h IS NULL AND last <> {PASSAGES}")
+    touched = spans_found.select("key").distinct().join(own, "key", "full_outer")
     places = F.coalesce("places", F.array().cast("array<struct<pos:int,h:long,multi:boolean>>")).alias("places")
     # one row for each text: copies are combined before the shuffle, so many of them make no task large
     distinct = long.groupBy("key").agg(F.collect_set("text").alias("texts"))
@@ -502,16 +573,17 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     cut = mixed.where("multi IS NOT NULL").groupBy("key").agg(F.collect_list(F.struct("pos", "h", "multi", "last")).alias("cuts"))
     cutting = texts.select("key", "text").join(cut, "key").select("key", "text", "cuts")
     sorted_ = stage(deal(cutting.mapInArrow(_cut_contexts(count), PACK), _sort_groups, PLACES), "sorted")
-    spans = found.where("h IS NULL").unionByName(mixed.where("multi IS NULL")).unionByName(sorted_).select("key", "pos", "last")
+    spans = spans_found.unionByName(mixed.where("multi IS NULL")).unionByName(sorted_).select("key", "pos", "last")
     spans = spans.groupBy("key").agg(F.collect_set(F.struct("pos", "last")).alias("spans"))
     by_text = texts.select("key", "text").join(spans, "key").select(F.sha2("text", 256).alias("sha"), "text", "spans")
     parts = stage(by_text.mapInArrow(_cut_texts, "sha string, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:int,end:int>>").dropDuplicates(["sha"]), "cut")
-    drop(found, texts, mixed, sorted_)
-    all_rows = rows.select("id", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("sha"))
-    copies = all_rows.groupBy("sha").agg(F.count("*").alias("copies"))
+    passages = found.where(f"last = {PASSAGES}").groupBy("key").agg(F.sum("pos").alias("n_passages"))
+    all_rows = rows.select("id", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("sha"), F.xxhash64("text").alias("key"))
+    copies = all_rows.groupBy("sha").agg(F.count("*").alias("copies"), F.first("key").alias("key"))
     # a table of its own: a join of two exchanges, which the optimiser can split where many rows have one text
-    known = stage(copies.join(parts, "sha", "left"), "known")
-    out = all_rows.join(known, "sha")
+    known = stage(copies.join(parts, "sha", "left").join(passages, "key", "left").drop("key"), "known")
+    drop(found, texts, mixed, sorted_)
+    out = all_rows.drop("key").join(known, "sha")
     gone = (F.col("copies") > 1) & (F.col("n") >= LENGTH)
     whole = F.array(F.struct(F.lit(0).alias("begin"), F.col("n").cast("int").alias("end")))
     none = F.array().cast("array<struct<begin:int,end:int>>")
@@ -522,9 +594,11 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
         F.when(gone, whole).otherwise(F.coalesce("spans", none)).alias("spans"),
+        F.coalesce("n_passages", F.lit(0)).cast("long").alias("n_passages"),
     )
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    """Query: of every document the bytes that repeat, and the digest of the rest."""
-    return repeated(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans").withColumnRenamed("id", "doc_id")
+    """Query: of every document the bytes that repeat, and the digest of the rest; and whether any passage repeats, the shorter ones included."""
+    found = repeated(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans").withColumnRenamed("id", "doc_id")
+    return found.withColumn("repeats", (F.col("n_removed") > 0) | (F.col("n_passages") > 0))

@@ -56,6 +56,24 @@ def test_matches_brute_force(messy, texts, seed, buckets):
         assert sum(s.end - s.begin for s in r.spans) == r.n_removed and len(r.spans) == r.n_spans
 
 
+def test_passages_of_over_50_words_are_counted(spark):
+    """Against all runs of words: 51 shared words are always noticed, fewer than 40 never."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdef") for _ in range(r.randint(1, 5)))
+    some = lambda n: [word() + str(r.randrange(10**6)) for _ in range(n)]
+    shared = {n: some(n) for n in (39, 51, 52, 70)}
+    rows = []
+    for n, passage in shared.items():
+        for k in range(3):
+            rows.append((n, " ".join(some(r.randrange(60))) + " " + ("\t" if k else " ").join(passage) + "\n" + " ".join(some(r.randrange(60)))))
+    twice = some(60)
+    rows += [(0, " ".join(twice + some(5) + twice)), (0, " ".join(some(300))), (0, None), (0, ""), (60, "é " * 49 + "a b"), (60, "é " * 49 + "a b")]
+    got = {}
+    for x in S.repeated(spark.createDataFrame(list(enumerate(rows)), "doc_id long, r struct<n:int,text:string>").selectExpr("doc_id", "r.text AS text"), buckets=3).collect():
+        got[x.id] = x.n_passages
+    assert all((got[k] > 0) == (n >= 51) for k, (n, _) in enumerate(rows))
+
+
 def test_empty(empty):
     assert S.repeated(empty).count() == 0
 
