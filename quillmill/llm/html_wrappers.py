@@ -1,26 +1,34 @@
 """Main text of web pages by inferring a wrapper for each host.
 
-A wrapper is a union-free regular expression over a page's elements: sequences with
-optional parts, repeated groups and text slots, and no alternatives.  It is inferred from
-all pages of the host: each task folds its pages, and the tasks' wrappers are folded by
-host.  Pages of one skeleton are merged part by part, others are aligned: children that repeat, alone
-or in groups of up to four, fold into a repeated group; two lists of children are aligned
-by their longest common subsequence, what has no counterpart becomes optional, and texts
-that differ become slots.
-
-The wrapper's statistics say where a host keeps its articles: the element named so if
-there is one outside the parts that never are (menus, footers, forms, adverts, comments
-and so on), else the deepest one that has most of the text that varies from page to page
-and is no link.  Every page is then aligned with its host's wrapper: blocks whose texts
-never differ on LEAST_PAGES different pages or more are left out (headings h1 stay, and a
-page that would be left empty is kept whole), and parts with a name of SOFT_NAMED stay
-where the wrapper shows text that varies.  A page that has not got the host's element is
-read through a wrapper of its own, in which the host's fixed texts count for nothing.
+A page is a stream of tokens: start tags with their classes, end tags, texts.  A wrapper is
+a union-free regular expression over such streams: sequences with optional parts, repeated
+groups and text slots, and no alternatives.  It is inferred by aligning streams of the same
+host one after another.  Where tags match, what stands between a start tag and its end tag
+is aligned in turn.  Where they don't, the mismatch is resolved: a stretch of tokens that
+repeats what stands before it, whatever its length, becomes a repeated group; one without a
+counterpart along the longest common subsequence becomes optional; texts that differ become
+a slot.  All pages of a host take part: each task folds its pages, and the tasks' wrappers
+are folded by host.  Pages of one skeleton are merged part by part, others are aligned.
+
+What is content is read off the wrapper.  A slot whose text differs from page to page, or
+that only some pages have, counts with its characters; a text that is the same on LEAST_PAGES
+pages or more is fixed and counts for nothing, as do links.  The article is the element named
+so, if there is one, else the deepest one that has most of what counts.  Every page is then
+matched against its host's wrapper: blocks whose texts are all fixed are left out (headings
+h1 stay, and a page that would be left empty is kept whole).
+
+Elements that never hold an article by their tag or role (menus, footers, forms and so on)
+are left out.  Names of classes and ids are weaker evidence, and the wrapper decides: a part
+with a name of SOFT_NAMED stays where its text varies, and a part with a name of NEVER_NAMED
+stays if next to nothing that counts is found outside it.  A page that has not got the
+host's element is read through a wrapper of its own, in which the host's fixed texts count
+for nothing.
 
 Defined cases: null html counts as empty and gives the empty text; so does a page without
 text outside excluded parts.  A null or unreadable url belongs to the host "".  Broken
 markup is read as browsers do in the main: implied end tags, unclosed elements closed by
-their parent.  Repeated rows and null ids are passed through; other columns are kept.
+their parent.  Repeated rows and null ids are passed through; other columns, whatever their
+names, are kept.
 """
 
 from __future__ import annotations
@@ -31,31 +39,84 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.flat import map_arrow
+from quillmill.llm.flat import fresh, map_arrow
 from quillmill.staging import stage
 
 LEAST_PAGES = 3
 HELD_SKELETONS = 256  # a task merges what it has after so many
 
 # Element classes of HTML, and names that pages give to parts that are no article.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
-CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
-SELF_CLOSING = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "thead": ({"tr", "td", "th"}, {"table"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "tr", "td", "th"}, {"table"}), "body": ({"head"}, {"html"})}
-NEVER = frozenset("head nav header footer aside form script style noscript template button select textarea input iframe svg canvas object audio video dialog menu title".split())
-NEVER_NAMED = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription sidebar rail menu nav navbar navigation breadcrumb breadcrumbs header masthead topbar footer bottombar comment comments disqus replies respond share sharing social related recommended pagination pager widget widgets toolbar login signup search form copyright legal hidden".split())
-SOFT_NAMED = frozenset("notice notices notification alert form copyright legal related".split())  # also names of parts of articles
+VOID = frozenset(
+    """
+    area base br col embed hr img input link meta param source track wbr
+    """.split()
+)
+RAW = frozenset(
+    """
+    script style textarea title iframe noembed noframes xmp
+    """.split()
+)
+INLINE = frozenset(
+    """
+    a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small
+    span strike strong sub sup time tt u var wbr br img
+    """.split()
+)
+CLOSES_P = frozenset(
+    """
+    address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2
+    h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul
+    """.split()
+)
+# of an element: those that it closes, and those beyond which it closes nothing
+SELF_CLOSING = {
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "tr": ({"tr", "td", "th"}, {"table"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "option": ({"option"}, {"select"}),
+    "thead": ({"tr", "td", "th"}, {"table"}),
+    "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
+    "tfoot": ({"tbody", "tr", "td", "th"}, {"table"}),
+    "body": ({"head"}, {"html"}),
+}
+NEVER = frozenset(
+    """
+    head nav header footer aside form script style noscript template button select textarea input iframe svg
+    canvas object audio video dialog menu title
+    """.split()
+)
+# names of parts that are seldom articles, as the first or the last word of a class or id
+NEVER_NAMED = frozenset(
+    """
+    ad ads adv advert adverts advertisement advertising banner sponsor sponsored cookie cookies consent gdpr
+    newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead topbar
+    footer bottombar comment comments disqus replies respond sharing recommended pagination pager toolbar login
+    signup
+    """.split()
+)
+# names that parts of articles have too, as a whole class or id
+SOFT_NAMED = frozenset(
+    """
+    alert copyright form header hidden legal modal notice notices notification overlay popup promo promotion rail
+    related search share social widget widgets
+    """.split()
+)
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 ARTICLES = frozenset(["article", "main"])
+BY_TAG, BY_NAME, BY_SOFT_NAME = 3, 2, 1  # why an element is no article text
 
-DEPTH = 200  # elements below this depth are read as if they had no level of their own
+DEPTH = 200  # elements below this depth have no level of their own, but for those that are left out by their tag
+RESCUE = 0.05  # of what counts, the share outside a named part under which the part is the article after all
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -64,7 +125,7 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    """An element: its label, whether it can hold no article text (2, or 1 if only by a name of SOFT_NAMED), and children, which are nodes or texts."""
+    """An element: its label, whether it can hold no article text (0, or by what: BY_TAG and so on), and children, which are nodes or texts."""
 
     __slots__ = ("tag", "label", "never", "kids")
 
@@ -72,17 +133,26 @@ class Node:
         self.tag, self.label, self.never, self.kids = tag, label, never, []
 
 
+def _by_name(name: str) -> int:
+    """What one class or id says."""
+    parts = [x.lower() for x in _NAME.findall(name)]
+    if parts and (parts[0] in NEVER_NAMED or parts[-1] in NEVER_NAMED):
+        return BY_NAME
+    return BY_SOFT_NAME if len(parts) == 1 and parts[0] in SOFT_NAMED else 0
+
+
 def _element(tag: str, attributes: str) -> Node:
-    label, never = tag, 2 * (tag in NEVER)
+    label, never = tag, BY_TAG if tag in NEVER else 0
     if attributes and not attributes.isspace():
         values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-        names = f"{values.get('class', '')} {values.get('id', '')}"
-        label += "".join("." + c for c in sorted(re.sub(r"\d+", "#", values.get("class", "")).split())[:4])
+        classes, role = values.get("class", "").split(), values.get("role", "").lower()
+        label += "".join("." + c for c in sorted(re.sub(r"\d+", "#", c) for c in classes))
         if tag not in ("html", "body"):
-            named = NEVER_NAMED.intersection(x.lower() for x in _NAME.findall(names))
-            never = max(never, 0 if not named else 1 if named <= SOFT_NAMED else 2)
-        never = 2 if values.get("role", "").lower() in NEVER_ROLES or "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "").lower() else never
-        if values.get("role", "").lower() == "main":
+            never = max([never, *map(_by_name, [*classes, *values.get("id", "").split()])])
+        shown = values.get("style", "").replace(" ", "").lower()
+        if role in NEVER_ROLES or "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in shown:
+            never = BY_TAG
+        if role == "main":
             label += "@main"
     return Node(tag, label, never)
 
@@ -126,7 +196,7 @@ def parse(page: str) -> Node:
             end = re.compile(rf"</{tag}[\s/>]", re.I).search(page, pos)
             pos = n if end is None else page.find(">", end.start()) + 1 or n
         elif tag not in VOID and not m[3].endswith("/"):
-            if len(stack) < DEPTH:
+            if len(stack) < DEPTH or len(stack) == DEPTH and node.never == BY_TAG:
                 stack.append(node)
             else:
                 flat[tag] = flat.get(tag, 0) + 1
@@ -137,15 +207,15 @@ class Part:
     """A part of a wrapper: an element, a group, or a text slot, with what the pages show of it.
 
     ``texts`` has the least two (hash, beginning) of its whole texts, ``ids`` the least LEAST_PAGES hashes of pages
-    that have it; ``source`` says where a single page has it.
+    that have it; ``source`` says where a single page has it.  ``rescued``: it is content despite its name.
     """
 
-    __slots__ = ("label", "tag", "never", "kids", "optional", "repeated", "texts", "chars", "links", "pages", "ids", "source")
+    __slots__ = ("label", "tag", "never", "kids", "optional", "repeated", "texts", "chars", "links", "pages", "ids", "source", "rescued")
 
     def __init__(self, label: str, tag: str = "", never: int = 0, ids: tuple = ()) -> None:
         self.label, self.tag, self.never, self.ids = label, tag, never, ids
         self.kids: list[Part] = []
-        self.optional = self.repeated = False
+        self.optional = self.repeated = self.rescued = False
         self.texts: set[tuple[str, str]] = set()
         self.chars = self.links = 0
         self.pages = 1
@@ -188,29 +258,37 @@ def page_part(page: str) -> Part:
 
 
 def _folded(kids: list[Part]) -> list[Part]:
-    """Neighbouring repetitions of one to four children as one repeated part."""
-    for size in (1, 2, 3, 4):
+    """Stretches that repeat what stands before them, first single parts and then groups of any length, as one repeated part."""
+    if len(kids) < 2:
+        return kids
+    for grouped in (False, True):
+        labels = [k.label for k in kids]
+        after, later = [0] * len(kids), {}
+        for k in range(len(kids) - 1, -1, -1):  # where a label comes next
+            after[k] = later.get(labels[k], 0)
+            later[labels[k]] = k
         i, out = 0, []
         while i < len(kids):
-            labels, end = [k.label for k in kids[i : i + size]], i + size
-            while len(labels) == size and [k.label for k in kids[end : end + size]] == labels:
+            size = after[i] - i if grouped else 1
+            end = i + max(size, 1)
+            while size > 0 and labels[end : end + size] == labels[i : i + size]:
                 end += size
-            if end > i + size:
-                runs = [kids[j : j + size] for j in range(i, end, size)]
-                group = runs[0]
-                for other in runs[1:]:
-                    group = [merged(a, b, same_page=True) for a, b in zip(group, other, strict=True)]
-                if size == 1:
-                    group[0].repeated = True
-                    out.append(group[0])
-                else:
-                    fold = Part("(" + " ".join(labels) + ")", ids=group[0].ids)
-                    fold.kids, fold.repeated = group, True
-                    out.append(fold)
-                i = end
-            else:
+            if size < 1 or end == i + size:
                 out.append(kids[i])
                 i += 1
+                continue
+            runs = [kids[j : j + size] for j in range(i, end, size)]
+            group = runs[0]
+            for other in runs[1:]:
+                group = [merged(a, b, same_page=True) for a, b in zip(group, other, strict=True)]
+            if size == 1:
+                fold = group[0]
+            else:
+                fold = Part("(" + " ".join(labels[i : i + size]) + ")", ids=group[0].ids)
+                fold.kids = group
+            fold.repeated = True
+            out.append(fold)
+            i = end
         kids = out
     return kids
 
@@ -241,6 +319,51 @@ def merged(a: Part, b: Part, same_page: bool = False) -> Part:
     return out
 
 
+CELLS = 1 << 21  # of a table of common subsequences; longer lists are halved first
+
+
+def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row i, column j: the length of the longest common subsequence of a[i:] and b[j:]."""
+    best = np.zeros((len(a) + 1, len(b) + 1), np.int32)
+    for i in range(len(a) - 1, -1, -1):
+        best[i] = _row(best[i + 1], a[i], b)
+    return best
+
+
+def _row(below: np.ndarray, x: int, b: np.ndarray) -> np.ndarray:
+    out = below.copy()
+    np.maximum(out[:-1], below[1:] + (b == x), out=out[:-1])
+    return np.maximum.accumulate(out[::-1])[::-1]
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Places that correspond along a longest common subsequence; memory grows with the sum of the lengths."""
+    if not len(a) or not len(b):
+        return []
+    if len(a) == 1 or len(a) * len(b) <= CELLS:
+        best, out, i, j = _lengths(a, b) if len(a) > 1 else None, [], 0, 0
+        if best is None:
+            at = np.flatnonzero(b == a[0])
+            return [(0, int(at[0]))] if len(at) else []
+        while i < len(a) and j < len(b):
+            if a[i] == b[j]:
+                out.append((i, j))
+                i, j = i + 1, j + 1
+            elif best[i + 1, j] >= best[i, j + 1]:
+                i += 1
+            else:
+                j += 1
+        return out
+    half = len(a) // 2
+    ahead, behind = np.zeros(len(b) + 1, np.int32), np.zeros(len(b) + 1, np.int32)
+    for x in a[half:][::-1]:
+        ahead = _row(ahead, x, b)
+    for x in a[:half]:
+        behind = _row(behind, x, b[::-1])
+    cut = int(np.argmax(ahead + behind[::-1]))
+    return _common(a[:half], b[:cut]) + [(i + half, j + cut) for i, j in _common(a[half:], b[cut:])]
+
+
 def _aligned(a: list, b: list) -> list[tuple]:
     """Pairs along the longest common subsequence of the labels, None where one list has no counterpart."""
     lo, n, m = 0, len(a), len(b)
@@ -249,21 +372,15 @@ def _aligned(a: list, b: list) -> list[tuple]:
     while min(n, m) > lo and a[n - 1].label == b[m - 1].label:
         n, m = n - 1, m - 1
     out = list(zip(a[:lo], b[:lo], strict=True))
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, lo - 1, -1):
-        for j in range(m - 1, lo - 1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i].label == b[j].label else max(best[i + 1][j], best[i][j + 1])
+    number: dict[str, int] = {}
+    x = np.array([number.setdefault(k.label, len(number)) for k in a[lo:n]], np.int64)
+    y = np.array([number.setdefault(k.label, len(number)) for k in b[lo:m]], np.int64)
     i = j = lo
-    while i < n or j < m:
-        if i < n and j < m and a[i].label == b[j].label:
-            out.append((a[i], b[j]))
-            i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            out.append((a[i], None))
-            i += 1
-        else:
-            out.append((None, b[j]))
-            j += 1
+    for p, q in [*_common(x, y), (n - lo, m - lo)]:
+        out += [(k, None) for k in a[i : lo + p]] + [(None, k) for k in b[j : lo + q]]
+        if p < n - lo and q < m - lo:
+            out.append((a[lo + p], b[lo + q]))
+        i, j = lo + p + 1, lo + q + 1
     return [*out, *zip(a[n:], b[m:], strict=True)]
 
 
@@ -324,11 +441,30 @@ class Known:
 def known(part: Part) -> list:
     often = len(part.ids) >= LEAST_PAGES
     fixed = next(iter(part.texts))[0] if often and part.label == "#text" and len(part.texts) == 1 else ""
-    varies = often and part.never == 1 and sum(map(_mass, part.kids)) > 0
-    kids = [] if part.never == 2 or part.tag == "h1" else [known(k) for k in part.kids]
+    varies = part.rescued or often and part.never == BY_SOFT_NAME and sum(map(_mass, part.kids)) > 0
+    kids = [] if part.never > BY_SOFT_NAME or part.tag == "h1" else [known(k) for k in part.kids]
     return [part.label, fixed, varies, kids if any(k[1] or k[2] or k[3] for k in kids) else []]
 
 
+def rescue(wrapper: Part) -> Part:
+    """Marks as content the named part that has what counts, if next to nothing that counts stands outside it."""
+    while True:
+        named: list[tuple[float, Part]] = []
+
+        def look(part: Part) -> None:
+            for kid in part.kids:
+                if kid.never in (BY_NAME, BY_SOFT_NAME):
+                    named.append((sum(map(_mass, kid.kids)), kid))
+                if kid.never != BY_TAG:
+                    look(kid)
+
+        look(wrapper)
+        most, part = max(named, key=lambda x: x[0], default=(0.0, wrapper))
+        if _mass(wrapper) >= RESCUE * most:
+            return wrapper
+        part.never, part.rescued = 0, True
+
+
 def _matched(part: Part, wrapper: Known, fixed: set, varying: set) -> None:
     """Aligns a page with its host's wrapper; fixed slots weigh nothing afterwards."""
     if wrapper.fixed and {x for x, _ in part.texts} == {wrapper.fixed}:
@@ -382,6 +518,14 @@ def region(wrapper: Part) -> list[str]:
         at = top
 
 
+def _rescued(part: Part, varying: set) -> None:
+    """Adds the sources of parts that are content despite their names."""
+    if part.rescued:
+        varying.update(part.source)
+    for kid in part.kids:
+        _rescued(kid, varying)
+
+
 def _found(root: Node, path: list[str]) -> list[Node]:
     level = [root]
     for label in path:
@@ -428,7 +572,8 @@ def text_of(page: str, path: list[str] | None, wrapper: Known | None = None) ->
         if wrapper is not None:
             _matched(part, wrapper, fixed, varying)
     if not nodes:
-        nodes = _found(root, region(part))
+        nodes = _found(root, region(rescue(part)))
+        _rescued(part, varying)
 
     def said(fixed: set) -> str:
         clean = (_SPACE.sub(" ", html.unescape(b)).strip() for node in nodes for b in blocks(node, fixed, varying))
@@ -465,7 +610,7 @@ def wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "html",
         for x in sorted(pdf["part"]):
             fold.add(pdf["host"].iloc[0], _unpacked(json.loads(x)))
         found = fold.flush()[pdf["host"].iloc[0]]
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "pages": [found.pages], "wrapper": [found.notation()], "path": [json.dumps(region(found))], "known": [json.dumps(known(found))]})
+        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "pages": [found.pages], "wrapper": [found.notation()], "path": [json.dumps(region(rescue(found)))], "known": [json.dumps(known(found))]})
 
     parts = map_arrow(rows, part, T.StructType([T.StructField("host", T.StringType()), T.StructField("part", T.StringType())]))
     return parts.groupBy("host").applyInPandas(run, "host string, pages long, wrapper string, path string, known string")
@@ -474,10 +619,12 @@ def wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "html",
 def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", out: str = "text", sample_pages: int | None = None) -> DataFrame:
     """``pages`` with its main text in ``out`` in place of the html; a column of that name gives way."""
     found = wrappers(pages, url_col=url_col, html_col=html_col, sample_pages=sample_pages)
-    by_host = stage(found.select(F.col("host").alias("__host"), F.concat_ws("\n", "path", "known").alias("__path")), "wrappers")
+    host, path, page = (fresh(pages, c) for c in ("host", "path", "page"))
+    by_host = stage(found.select(F.col("host").alias(host), F.concat_ws("\n", "path", "known").alias(path)), "wrappers")
     keep = [c for c in pages.columns if c not in (html_col, out)]
     # the table's size is known from its files: the optimiser broadcasts it only below its limit
-    joined = pages.join(by_host, host_of(F.col(url_col)) == F.col("__host"), "left").select(*[F.col(f"`{c}`") for c in keep], "__path", F.col(html_col).alias("__html"))
+    joined = pages.join(by_host, host_of(F.col(f"`{url_col}`")) == F.col(host), "left")
+    joined = joined.select(*[F.col(f"`{c}`") for c in keep], path, F.col(f"`{html_col}`").alias(page))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths: dict = {None: (None, None)}

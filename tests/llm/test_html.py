@@ -36,6 +36,66 @@ def test_deep_and_long_pages():
     H.text_of("<div '" * 3000, None)
 
 
+def test_excluded_elements_below_any_depth_and_long_mixed_lists():
+    deep = "<article>" + "<div>" * 300 + "<nav>MENU<div>more<nav>x</nav></div></nav>text" + "</div>" * 300 + "end</article>"
+    assert H.text_of(deep, None) == "text end"
+    tags = ["p", "h2", "ul", "blockquote", "pre"]
+    page = lambda f: "<main>" + "".join(f"<{tags[f(k)]}>{k}</{tags[f(k)]}>" for k in range(6000)) + "</main>"
+    one, two = page(lambda k: (k * k + k // 7) % 5), page(lambda k: (k * 3 + k // 11) % 5)
+    wrapper = H.infer([one, two])
+    assert wrapper.pages == 2 and H.text_of(one, H.region(wrapper)) == " ".join(map(str, range(6000)))
+
+
+def test_common_subsequences_in_little_memory(monkeypatch):
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    a, b = r.integers(0, 5, 300), r.integers(0, 5, 280)
+    whole = H._common(a, b)
+    monkeypatch.setattr(H, "CELLS", 500)
+    halved = H._common(a, b)
+    for pairs in (whole, halved):
+        assert all(a[i] == b[j] for i, j in pairs) and pairs == sorted(set(pairs))
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+    assert len(whole) == len(halved) == H._lengths(a, b)[0, 0]
+
+
+def test_groups_of_any_length_fold():
+    row = "".join(f"<{t}>x</{t}>" for t in ("h2", "p", "ul", "ol", "pre", "table", "h3"))
+    assert H.infer([f"<main>{row * 4}</main>"]).notation().count("<pre>") == 1
+
+
+@pytest.mark.parametrize("name", ["article-header-form", "comment-page", "ad widget", "notice"])
+def test_a_name_does_not_hide_what_the_wrapper_shows_to_be_the_article(spark, name):
+    """Pages without article or main whose only varying part has a misleading name."""
+    page = "<div class='top'>Our site</div><div class='{1}'><p>Main text {0} of this page.</p><p class='legal-history'>Law {0}</p><div class='widget-design'>Design {0}</div></div><div class='footer'>Foot {0}</div>"
+    df = spark.createDataFrame([(k, "http://h.example/", page.format(k, name)) for k in range(5)], "page_id long, url string, html string").repartition(2)
+    want = {k: f"Main text {k} of this page. Law {k} Design {k}" for k in range(5)}
+    assert {r.page_id: r.text for r in H.extract(df).collect()} == want
+
+
+def test_comments_stay_out_however_long(spark):
+    page = "<div class='post'><p>Article {0} says what it says.</p></div><div class='comments'>" + "<div class='comment'><b>Reader {0}</b><p>I think {0} that</p></div>" * 9 + "</div>"
+    df = spark.createDataFrame([(k, "http://h.example/", page.format(k)) for k in range(5)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in H.extract(df).collect()} == {k: f"Article {k} says what it says." for k in range(5)}
+
+
+def test_without_wrappers_the_result_is_another(spark):
+    """Ablation: the same pages read one by one keep what only the host's wrapper shows to be fixed."""
+    page = "<div class='a'><div class='b'>All that we publish is checked by two editors and a lawyer.</div><div class='c'>Report {0}: it rained.</div><div class='b'>Write to us, we like to hear from you at any time.</div></div>"
+    df = spark.createDataFrame([(k, "http://h.example/", page.format(k)) for k in range(4)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in H.extract(df).collect()} == {k: f"Report {k}: it rained." for k in range(4)}
+    assert "lawyer" in H.text_of(page.format(1), None)
+
+
+def test_clashing_names_and_odd_rows(spark):
+    rows = [(1, "http://h.example/", "<p>a</p>", "x", "y", "z"), (1, "http://h.example/", "<p>a</p>", "x", "y", "z"), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, host string, path string, `page` string")
+    out = H.extract(df)
+    assert out.columns == ["page_id", "url", "host", "path", "page", "text"]
+    assert sorted((r.text, r.host or "") for r in out.collect()) == [("", ""), ("a", "x"), ("a", "x")]
+
+
 def test_table(spark):
     rows = [(k, f"http://H{k % 2}.example/p{k}", PAGE.format(f"<article><p>text {k}</p></article>"), "extra", "old") for k in range(12)]
     rows += [rows[0], (None, None, None, None, None), (99, "no url", "", "e", "o"), (100, "http://h0.example/x", "<p>other form</p>", "e", "o")]
