@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SLICE_BYTES = 1 << 18
@@ -40,6 +41,35 @@ def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(run, inner).toDF(*schema.names)
 
 
+def bounded_sample(texts: DataFrame, marks: DataFrame, *, rows_most: int, bytes_most: int, seed: int, each: int = 0) -> list[tuple[str, object]]:
+    """``(text, label)`` of at most so many of the rows of ``texts`` (_id, _t) that ``marks`` (_id) names, with at most so many bytes of text.
+
+    One of the two has the label _y.  Rows come in the order of a hash of their id, the first ``each`` of every label
+    before all others.  Sizes alone reach the driver first, for twice as many rows as are asked for; a text that is over
+    what is left of the bytes is passed over whole, and only the texts that have been chosen leave the executors.
+    Repeated rows count once.
+    """
+    order = F.xxhash64(F.col("_id"), F.lit(seed))
+    others = [c for c in texts.columns if c not in ("_id", "_t")]
+    sized = texts.select("_id", *others, F.octet_length("_t").alias("n"), F.xxhash64("_t").alias("h")).join(marks, "_id").select("_id", "_y", "n", "h").distinct()
+    found = sized.orderBy(order, "_id", "h", "_y").limit(2 * rows_most).collect()
+    if each:
+        rank = F.row_number().over(Window.partitionBy("_y").orderBy(order, "_id", "h"))
+        found = [*sized.withColumn("r", rank).where(F.col("r") <= each).orderBy("_y", "r").drop("r").collect(), *found]
+    chosen: dict[tuple, object] = {}
+    left = bytes_most
+    for x in found:
+        key = (x["_id"], x["h"])
+        if key not in chosen and x["n"] <= left and len(chosen) < rows_most:
+            left -= x["n"]
+            chosen[key] = x["_y"]
+    kind = T.StructType([texts.schema["_id"], T.StructField("h", T.LongType())])
+    table = texts.sparkSession.createDataFrame(list(chosen), kind)  # at most rows_most of them
+    got = texts.select("_id", "_t", F.xxhash64("_t").alias("h")).join(F.broadcast(table), ["_id", "h"]).dropDuplicates(["_id", "h"])
+    text_of = {(r["_id"], r["h"]): r["_t"] for r in got.toLocalIterator()}
+    return [(text_of[k], y) for k, y in chosen.items()]
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column one after another, and n+1 offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):

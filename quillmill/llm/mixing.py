@@ -19,13 +19,16 @@ A rate r makes floor(r) copies of its document and one more with the probability
 rest, drawn by a hash of id and text: the same draw on every run.
 
 Defined cases: a null or empty text has the classifier's prior and no tokens, and its
-rate follows its posterior.  A domain whose labels are missing can't be predicted: a
-target for it is an error, as are negative or all-zero weights.  Without labelled rows there
-are no domains, and every rate is 1.  Empty tables give empty results.  Repeated rows have equal rates and equal draws.  Other columns pass through.
+rate follows its posterior.  A domain without labelled rows (or with none short enough to
+learn from) can't be predicted: a target for it is an error, as are negative or all-zero
+weights.  Only the built-in targets leave out domains that have no documents at all, with a
+warning.  A learned domain without a target has the target 0.  Without labelled rows there
+are no domains, and without targets nothing to meet: every rate is 1.  Empty tables give empty results.  Repeated rows have equal rates and equal draws.  Other columns pass through.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,12 +38,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.flat import fresh, map_arrow, slices, sums, words
+from quillmill.llm.flat import bounded_sample, fresh, map_arrow, slices, sums, words
 from quillmill.staging import drop, stage
 
 BITS = 14
 SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 16 << 20
+EACH = 40
 
 
 @dataclass(frozen=True)
@@ -100,20 +104,19 @@ def posteriors(column: pa.Array, d: Domains) -> tuple[np.ndarray, np.ndarray]:
     return out, tokens
 
 
-def fit_domains(docs: DataFrame, labels: DataFrame, *, domain_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Domains:
-    """Learns from labelled rows (those with an id in ``labels``), whole texts in the order of a hash of the id, up to SAMPLE_ROWS or SAMPLE_BYTES."""
-    order = F.xxhash64(F.col("_id"), F.lit(11))
-    ids = labels.select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct().orderBy(order, "_id").limit(2 * sample_rows)
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"), F.col(domain_col).cast("string").alias("_y"))
-    rows = rows.where("_y IS NOT NULL").join(F.broadcast(ids), "_id").orderBy(order, "_id").limit(sample_rows)
-    xs, ys, size = [], [], 0
-    for _, text, y in rows.toLocalIterator():
-        if size + len(text) > SAMPLE_BYTES and xs:
-            break
-        size += len(text)
-        xs.append(text)
-        ys.append(y)
-    return learn(xs, ys)
+def fit_domains(
+    docs: DataFrame, labels: DataFrame, *, domain_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES
+) -> Domains:
+    """Learns from labelled rows (those with an id in ``labels``).
+
+    At most ``sample_rows`` whole texts of ``sample_bytes`` together, in the order of a hash of the id, but the first
+    EACH rows of every labelled domain before all others, so that a rare one is learned too.
+    """
+    ids = labels.select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("_id"), text.alias("_t"), F.col(domain_col).cast("string").alias("_y")).where("_y IS NOT NULL")
+    found = bounded_sample(rows, ids, rows_most=sample_rows, bytes_most=sample_bytes, seed=11, each=EACH)
+    return learn([t for t, _ in found], [y for _, y in found])
 
 
 def members(docs: DataFrame, d: Domains, *, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -139,22 +142,26 @@ def fold_rates(p: np.ndarray, gradients: list[np.ndarray], floor: float) -> np.n
 
 @dataclass(frozen=True)
 class Fit:
-    """Steps of the descent, and the tokens of each domain: as they are, as asked for, as fitted."""
+    """Steps of the descent, the tokens of each domain (as they are, as asked for, as fitted), and whether these meet."""
 
     gradients: tuple[np.ndarray, ...]
     floor: float
     natural: np.ndarray
     target: np.ndarray
     fitted: np.ndarray
+    converged: bool = True
 
 
-def fit_rates(table: DataFrame, names: tuple[str, ...], weights: dict[str, float], *, floor: float = 0.0, total: float | None = None, steps: int = 40, tolerance: float = 1e-3) -> Fit:
-    """Fits rates over ``table`` (tokens, posterior).
+def fit_rates(
+    table: DataFrame, names: tuple[str, ...], weights: dict[str, float], *, floor: float = 0.0, total: float | None = None, steps: int = 100, tolerance: float = 1e-3
+) -> Fit:
+    """Fits rates over ``table`` (tokens, posterior) until every domain is within ``tolerance`` of the total.
 
     ``total``: tokens asked for; by default those that there are, or with a floor the
-    fewest with which no domain needs less than its floor.
+    fewest with which no domain needs less than its floor.  ``converged`` of the result says
+    whether the steps were enough; if not, there is a warning too.
     """
-    if not names:
+    if not names or not weights:
         return Fit((), floor, np.zeros(0), np.zeros(0), np.zeros(0))
     if unknown := set(weights) - set(names):
         raise ValueError(f"no labelled rows of {sorted(unknown)}")
@@ -184,12 +191,16 @@ def fit_rates(table: DataFrame, names: tuple[str, ...], weights: dict[str, float
     if total is None:
         total = natural.sum() if floor <= 0 else max((floor * c / x for c, x in zip(natural, w, strict=True) if x > 0), default=0.0)
     target, gradients, now = w * total, [], first
-    for _ in range(steps):
-        if np.abs(now - target).max() <= tolerance * max(total, 1e-9):
-            break
+
+    def met() -> bool:
+        return bool(np.abs(now - target).max() <= tolerance * max(total, 1e-9))
+
+    while not met() and len(gradients) < steps:
         gradients.append((now - target) / np.maximum(natural, 1e-9) * (natural > 0))
         now = sums_at(gradients)
-    return Fit(tuple(gradients), floor, natural, target, now)
+    if not met():
+        warnings.warn(f"after {steps} steps the tokens by domain are {now.round()} and not {target.round()}", stacklevel=2)
+    return Fit(tuple(gradients), floor, natural, target, now, met())
 
 
 def with_rates(docs: DataFrame, d: Domains, fit: Fit, *, text_col: str = "text", rate: str = "rate") -> DataFrame:
@@ -216,17 +227,20 @@ def copies(rate: Column, *key: Column) -> Column:
 TARGETS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
 
 
-def present(targets: dict[str, float], d: Domains) -> dict[str, float]:
-    """The targets of the domains that the labelled rows have."""
-    return {k: v for k, v in targets.items() if k in d.names}
+def default_targets(docs: DataFrame, domain_col: str = "lang") -> dict[str, float]:
+    """TARGETS of the domains that ``docs`` has rows of; for the others, which no rate can meet, there is a warning."""
+    there = {r[0] for r in docs.select(F.col(domain_col).cast("string")).where(F.col(domain_col).isin(*TARGETS)).distinct().collect()}
+    if there and there < set(TARGETS):
+        warnings.warn(f"no documents of {sorted(set(TARGETS) - there)}: their targets are shared out among the others", stacklevel=2)
+    return {k: v for k, v in TARGETS.items() if k in there}
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
-    """Query: the fitted rate of every document, and its copies; no target is scaled below what there is."""
+    """Query: the fitted non-negative rate of every document, and its copies; as many tokens are asked for as there are."""
     docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
     d = fit_domains(docs, labels)
     table = stage(members(docs, d, carry=["doc_id"]), "members")
-    fit = fit_rates(table, d.names, present(TARGETS, d), floor=1.0)
+    fit = fit_rates(table, d.names, default_targets(docs))
     shared = spark.sparkContext.broadcast(fit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,14 +254,31 @@ def op9_mixing(spark, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", "tokens", *shares, F.round("rate", 6).alias("rate"), copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 
 
-def mix(docs: DataFrame, labels: DataFrame, *, targets: dict[str, float] | None = None, floor: float = 1.0, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, each as often as its rate says; with a floor of 1 none goes."""
+def mix(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    targets: dict[str, float] | None = None,
+    floor: float = 1.0,
+    most_expansion: float = 16.0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    domain_col: str = "lang",
+) -> DataFrame:
+    """The rows of ``docs``, each as often as its rate says; with a floor of 1 none goes.
+
+    Targets that would make more than ``most_expansion`` times the tokens that there are, as a tiny weight of a large
+    domain does under a floor, are an error.  Posteriors are worked out twice, for the fit and for the result, which
+    costs less than writing every text once more beside them.
+    """
     d = fit_domains(docs, labels, domain_col=domain_col, id_col=id_col, text_col=text_col)
     if not d.names:
         return docs
     table = stage(members(docs, d, text_col=text_col), "members")
-    fit = fit_rates(table, d.names, present(TARGETS, d) if targets is None else targets, floor=floor)
+    fit = fit_rates(table, d.names, default_targets(docs, domain_col) if targets is None else targets, floor=floor)
     drop(table)
+    if fit.target.sum() > most_expansion * fit.natural.sum():
+        raise ValueError(f"the targets ask for {fit.target.sum() / fit.natural.sum():.1f} times the tokens that there are")
     rate, copy = fresh(docs, "rate"), fresh(docs, "copy")
     rated = with_rates(docs, d, fit, text_col=text_col, rate=rate)
     n = copies(F.col(rate), F.col(id_col), F.col(text_col))

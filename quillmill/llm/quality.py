@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.flat import fresh, map_arrow, mix, range_hashes, slices, sums, words
+from quillmill.llm.flat import bounded_sample, fresh, map_arrow, mix, range_hashes, slices, sums, words
 
 BITS = 18
 _C = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1)]
@@ -41,8 +41,8 @@ class Training:
     """What the fit may look at and how it steps.
 
     ``sample_rows`` and ``sample_bytes`` bound the labelled rows that the driver
-    gathers: rows come in the order of a hash of their id, whole texts, until either
-    bound is reached.
+    gathers: whole texts in the order of a hash of their id, up to so many rows; a text
+    that would pass the bound on bytes is passed over.
     """
 
     sample_rows: int = 2500
@@ -157,30 +157,17 @@ def score_batch(column: pa.Array, table: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(out, -50, 50)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column | None, how: Training, id_col: str, text_col: str) -> tuple[list[str], list[int]]:
-    """Labelled texts in the order of a hash of their id, up to the bounds of ``how``."""
+def fit(
+    docs: DataFrame, labels: DataFrame, *, label: str = "quality", keep: Column | None = None, how: Training = Training(), id_col: str = "doc_id", text_col: str = "text"
+) -> np.ndarray:
+    """Learns from the labelled rows for which ``keep`` (over ``_id``) holds; of several labels of an id the greatest counts."""
     marks = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y")).where("_y IN (0, 1) AND _id IS NOT NULL")
     if keep is not None:
         marks = marks.where(keep)
     marks = marks.groupBy("_id").agg(F.max("_y").alias("_y"))
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
-    order = F.xxhash64(F.col("_id"), F.lit(how.seed))
-    # twice as many marks as are asked for: some have no document
-    chosen = marks.orderBy(order, "_id").limit(2 * how.sample_rows)
-    rows = texts.join(F.broadcast(chosen), "_id").orderBy(order, "_id").limit(how.sample_rows)
-    xs, ys, size = [], [], 0
-    for _, text, y in rows.select("_id", "_t", "_y").toLocalIterator():
-        if size + len(text) > how.sample_bytes and xs:
-            break
-        size += len(text)
-        xs.append(text)
-        ys.append(int(y))
-    return xs, ys
-
-
-def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", keep: Column | None = None, how: Training = Training(), id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
-    """Learns from the labelled rows for which ``keep`` (over ``_id``) holds."""
-    return train(*labelled_sample(docs, labels, label, keep, how, id_col, text_col), how)
+    found = bounded_sample(texts, marks, rows_most=how.sample_rows, bytes_most=how.sample_bytes, seed=how.seed)
+    return train([t for t, _ in found], [y for _, y in found], how)
 
 
 def score(docs: DataFrame, table: np.ndarray, *, text_col: str = "text", out: str = "score", carry: list[str] | None = None) -> DataFrame:

@@ -74,8 +74,31 @@ def test_odd_cases(spark, docs, labels, empty):
     assert np.allclose(p.sum(1), 1) and list(n) == [0, 0, 1, 50_000]
 
 
-def test_query(spark, tiny):
-    q = M.op9_mixing(spark, tiny)
-    assert {"doc_id", "tokens", "rate", "copies"} <= set(q.columns)
-    for r in q.collect():
-        assert r.rate >= 1 and r.copies in (int(r.rate), int(r.rate) + 1)
+def test_query_meets_its_targets(spark, tiny):
+    """Against sums over all rows, written out: the tokens that the rates give every domain are within 1 % of its target."""
+    rows = M.op9_mixing(spark, tiny).collect()
+    assert len(rows) == spark.read.parquet(f"{tiny}/documents.parquet").count()
+    tokens, rates = np.array([r.tokens for r in rows], float), np.array([r.rate for r in rows])
+    assert (rates >= 0).all() and (rates < 1).any() and (rates > 1).any()
+    assert all(r.copies in (int(r.rate), int(r.rate) + 1) for r in rows)
+    for name, weight in M.TARGETS.items():
+        p = np.array([r[f"p_{name}"] for r in rows])
+        assert abs((tokens * rates * p).sum() - weight * tokens.sum()) <= 0.01 * tokens.sum()
+
+
+def test_a_rare_domain_is_learned_and_a_long_text_passed_over(spark):
+    rows = [(k, text("en", k), "en") for k in range(400)] + [(1000, text("de", 1), "de"), (1001, "long " * 100_000, "en"), (1002, "not labelled", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ids = docs.where("doc_id < 1002").select("doc_id")
+    d = M.fit_domains(docs, ids, sample_rows=60, sample_bytes=60_000)
+    assert d.names == ("de", "en")
+    with pytest.raises(ValueError, match="fr"):
+        M.mix(docs, ids, targets={"fr": 1.0})
+    with pytest.raises(ValueError, match="times"):
+        M.mix(docs, ids, targets={"en": 0.001, "de": 0.999}, most_expansion=10)
+
+
+def test_too_few_steps_are_reported(docs, labels):
+    d = M.fit_domains(docs, labels)
+    with pytest.warns(UserWarning, match="after 1 steps"):
+        assert not M.fit_rates(M.members(docs, d), d.names, {"en": 0.1, "de": 0.1, "fr": 0.8}, steps=1, tolerance=1e-9).converged
