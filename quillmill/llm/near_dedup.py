@@ -54,7 +54,7 @@ from quillmill.staging import drop, stage
 
 COORDINATES, MATCHES = 64, 40
 BLOCK = 512  # members of a list that are compared at a time
-WINDOW = 4  # closest partners of a member that are confirmed first
+WINDOW = 16  # closest partners of a member that are confirmed first
 _SEEDS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _WORD = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -182,10 +182,10 @@ class _List:
         self.owns: list[np.ndarray] = []
         self.blocks: list[int] = []
 
-    def candidates(self, low: int, high: int, matches: int) -> tuple[list[tuple[bytes, bytes]], bool]:
+    def candidates(self, low: int, high: int, matches: int) -> tuple[list[tuple[bytes, bytes]], int]:
         """Pairs not connected yet that collide in ``matches`` coordinates or more, this list being the first that they share.
 
-        Of these the pairs in which one is among the other's partners from the ``low``-th up to the ``high``-th closest; and whether there are pairs beyond.
+        Of these the pairs in which one is among the other's partners from the ``low``-th up to the ``high``-th closest; and how many there are beyond.
         """
         n = len(self.reps)
         values, place = np.empty((n, COORDINATES), np.int64), np.full((n, COORDINATES), 255, np.uint8)
@@ -211,12 +211,12 @@ class _List:
                 found_j.append(js[ok])
                 count.append(times[ok])
         if not found_i:
-            return [], False
+            return [], 0
         i, j, c = (np.concatenate(x) for x in (found_i, found_j, count))
         rank = np.minimum(_ranks(i, c), _ranks(j, c))
         apart = label[i] != label[j]
         now = np.flatnonzero(apart & (rank >= low) & (rank < high))
-        return [(self.reps[x], self.reps[y]) for x, y in zip(i[now], j[now], strict=True)], bool((apart & (rank >= high)).any())
+        return [(self.reps[x], self.reps[y]) for x, y in zip(i[now], j[now], strict=True)], int((apart & (rank >= high)).sum())
 
 
 def _ranks(owner: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -229,13 +229,14 @@ def _ranks(owner: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def _merged(low: int, high: int, matches: int):
-    """Rows (token, a, b, block, rep, label, own) in the order of the first three -> candidates (u, v), and one row with nulls if there are more."""
+    """Rows (token, a, b, block, rep, label, own) in the order of the first three -> candidates (u, v, 0), and a row with nulls and the number of those beyond."""
 
-    def out(pairs: list[tuple[bytes | None, bytes | None]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.binary()), pa.array([y for _, y in pairs], pa.binary())], names=["u", "v"])
+    def out(pairs: list[tuple[bytes | None, bytes | None]], more: int = 0) -> pa.RecordBatch:
+        cols = [pa.array([x for x, _ in pairs], pa.binary()), pa.array([y for _, y in pairs], pa.binary()), pa.array([more if x is None else 0 for x, _ in pairs], pa.int64())]
+        return pa.RecordBatch.from_arrays(cols, names=["u", "v", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, more, pairs = None, False, []
+        now, more, pairs = None, 0, []
         for b in batches:
             keys = list(zip(*(b.column(k).to_pylist() for k in range(4)), strict=True))
             own = b.column(6)
@@ -245,7 +246,7 @@ def _merged(low: int, high: int, matches: int):
                     if now is not None:
                         found, beyond = now.candidates(low, high, matches)
                         pairs += found
-                        more = more or beyond
+                        more += beyond
                     now = _List(token, x, y)
                 now.reps.append(rep)
                 now.labels.append(label)
@@ -257,11 +258,11 @@ def _merged(low: int, high: int, matches: int):
         if now is not None:
             found, beyond = now.candidates(low, high, matches)
             pairs += found
-            more = more or beyond
+            more += beyond
         if more:
             pairs.append((None, None))
         if pairs:
-            yield out(pairs)
+            yield out(pairs, more)
 
     return run
 
@@ -275,13 +276,13 @@ def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def further_pairs(todo: DataFrame, mine: DataFrame, low: int, high: int, matches: int) -> DataFrame:
-    """Candidates (u, v) of the open lists, by pairs of blocks; a row of nulls says that there are more beyond ``high``."""
+    """Candidates (u, v, more) of the open lists, by pairs of blocks; a row of nulls says how many more there are beyond ``high``."""
     n = int(todo.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = todo.join(mine.select("rep", "own"), "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("token", F.least("x", "block").alias("a"), F.greatest("x", "block").alias("b"), "block", "rep", "label", "own")
     dealt = rows.repartition(n, "token", "a", "b").sortWithinPartitions("token", "a", "b")
-    return dealt.mapInArrow(_merged(low, high, matches), "u binary, v binary")
+    return dealt.mapInArrow(_merged(low, high, matches), "u binary, v binary, more long")
 
 
 def class_labels(docs: DataFrame, classes: DataFrame, *, size: int, percent: int, matches: int, id_col: str, text_col: str) -> DataFrame:
@@ -299,16 +300,18 @@ def class_labels(docs: DataFrame, classes: DataFrame, *, size: int, percent: int
     while True:
         labels = component_labels(links)
         todo = stage(open_lists(lists, labels), "open")
-        if not todo.limit(1).count():
+        postings = todo.count()
+        if not postings:
             break
         found = stage(further_pairs(todo, mine, low, high, matches), "pairs")
-        pairs = found.where("u IS NOT NULL")
-        if pairs.limit(1).count():
-            links = links.union(stage(confirmed(pairs, members, matches=matches, percent=percent), "links"))
-        if not found.where("u IS NULL").limit(1).count():
-            labels = component_labels(links)
+        pairs, beyond = found.agg(F.count("u"), F.coalesce(F.sum("more"), F.lit(0))).first()
+        if pairs:
+            links = links.union(stage(confirmed(found.select("u", "v").where("u IS NOT NULL"), members, matches=matches, percent=percent), "links"))
+        if not beyond:
+            labels = component_labels(links) if pairs else labels
             break
-        low, high = high, 4 * high
+        # what is no more than the postings is confirmed at once; else windows widen, as links found save further pairs
+        low, high = high, 2 * BLOCK if beyond <= postings else 4 * high
     drop(mine, lists, members, todo)
     return labels
 
