@@ -5,28 +5,30 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable
 
+PLAIN = (str, int, float, bool)
+
 
 def flattened(settings, excluded: Iterable[str] = (), prefix: str = "") -> list[tuple[str, str]]:
     """Name-value pairs of a nested dict.
 
-    Nested names are joined by "_"; an empty list is ""; a list of plain values is joined
-    by "-"; a list of dicts recurses with the index behind a "-"; what is no dict at all
-    is ("unknown", its class).
+    Nested names are joined by "_"; an empty list is ""; a list that begins with a plain
+    value is joined by "-"; any other list recurses with the index behind a "-"; what is no
+    dict at all is ("unknown", its class).  ``excluded`` has whole joined names, and stops
+    plain values only: dicts and lists of that name go in.
     """
     if not isinstance(settings, dict):
         return [("unknown", type(settings).__name__)]
     skip, out = set(excluded), []
     for name, value in settings.items():
-        if name in skip:
-            continue
         full = f"{prefix}_{name}" if prefix else str(name)
         if isinstance(value, dict):
             out += flattened(value, skip, full)
-        elif isinstance(value, list) and any(isinstance(x, dict) for x in value):
-            for i, x in enumerate(value):
-                out += flattened(x, skip, f"{full}-{i}") if isinstance(x, dict) else [(f"{full}-{i}", str(x))]
-        else:
-            out.append((full, "-".join(map(str, value)) if isinstance(value, list) else str(value)))
+        elif isinstance(value, list) and value and not isinstance(value[0], PLAIN):
+            out += [pair for i, x in enumerate(value) for pair in flattened(x, skip, f"{full}-{i}")]
+        elif isinstance(value, list):
+            out.append((full, "-".join(map(str, value))))
+        elif full not in skip:
+            out.append((full, str(value)))
     return out
 
 

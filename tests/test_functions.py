@@ -22,12 +22,6 @@ def col(spark, values, *exprs):
     return [tuple(r) for r in df.select("i", *[e.alias(f"e{k}") for k, e in enumerate(exprs)]).orderBy("i").drop("i").collect()]
 
 
-def uniform(t):
-    t = t.replace(" ", "").replace("□", "").replace("■", "").replace(" ", " ").replace("　", " ")
-    t = re.sub(r"[\n\r]{2,}", "\n\n", t)
-    return re.sub(r"-{3,}", "---", re.sub(r" {2,}", "  ", t)).strip()
-
-
 def edu(t):
     m = re.search(r"教育得分：[\s\S]*?(\d)", t)
     return m and str(int(m[1]))
@@ -40,7 +34,7 @@ def on(f):
 @pytest.mark.parametrize(
     "spark_form,python_form",
     [
-        (X.py_strip, str.strip), (X.uniform, uniform), (X.edu_score, edu), (X.without_nbsp, lambda t: t.replace(" ", "")),
+        (X.py_strip, str.strip), (X.edu_score, edu), (X.without_nbsp, lambda t: t.replace(" ", "")),
         (lambda c: X.truncated(c, 2000), lambda t: t[:2000] + "......" if len(t) > 2000 else t), (lambda c: X.truncated(c, 2), lambda t: t[:2] + "......" if len(t) > 2 else t),
         (X.clean_turn, lambda t: t.replace("||", "").replace("<|im_end|>", "").strip()),
         (X.plain_punctuation, lambda t: t.translate(str.maketrans("，。“”‘’；：", ",.\"\"'';:"))),
@@ -54,6 +48,16 @@ def test_text(spark, spark_form, python_form):
     assert [r[0] for r in col(spark, STRINGS, spark_form(F.col("s")))] == [on(python_form)(s) for s in STRINGS]
 
 
+CLEANED = {
+    "": "", " x ": "x", "a\nb": "a\nb", "a\r\nb": "a\n\nb", "a\r\n\r\n\nb": "a\n\nb", "a\n \nb": "a\n \nb", "x  y": "x  y", "x    y": "x  y", "--": "--", "-----": "---", "----- x ----": "--- x ---",
+    "\u25a1\u25a0a\u25a0": "a", "a\u2003b": "ab", "a\u00a0\u3000b": "a  b", "\u3000 a \x1c": "a", "a \u2003 b": "a  b", "-\u25a1--": "---",
+}
+
+
+def test_cleaning(spark):
+    assert [r[0] for r in col(spark, [None, *CLEANED], X.uniform(F.col("s")))] == [None, *CLEANED.values()]
+
+
 REPLIES = ['{"a": "1", "b": ["x","y"]}', "{'a': '1'}", '{"a": "1"} tail', '{"a": "1", "a": "2"}', '["a"]', '{"a": ["q"]}', '{"a": 3}', '{"b": "1"}', '{"a": "x json y"}', '```json\n{“a”：“全”}\n```', '{"a": "say "hi" now"}', "{", "", "no", None, '{"a": null}']
 
 
@@ -116,6 +120,8 @@ def test_paths(spark):
 def test_settings():
     s = {"a": 1, "b": {"c": [], "d": [1, 2], "e": [{"f": 3}, {"f": 4}]}, "skip": 5}
     assert flattened(s, {"skip"}) == [("a", "1"), ("b_c", ""), ("b_d", "1-2"), ("b_e-0_f", "3"), ("b_e-1_f", "4")]
+    assert flattened({"a": {"b": 1, "c": {"b": 2}}, "b": [3], "d": {}}, {"b", "a_b"}) == [("a_c_b", "2"), ("b", "3")]
+    assert flattened({"a": [1, {"x": 2}], "b": [None, 2]}) == [("a", "1-{'x': 2}"), ("unknown", "NoneType"), ("unknown", "int")]
     assert flattened([1]) == [("unknown", "list")] and signature(s) != signature(s, {"skip"}) and len(signature(s)) == 40
 
 
