@@ -70,27 +70,45 @@ class ScalableBloom:
         self.room = self.capacity
         self.capacity, self.error = self.capacity * 2, self.error / 2
 
+    def add_all(self, digests: np.ndarray) -> np.ndarray:
+        """Of each digest, a pair of 64-bit numbers, whether it was (probably) there before, earlier ones of the batch included; all are there after."""
+        if not len(digests):
+            return np.zeros(0, bool)
+        a, b = digests[:, 0], digests[:, 1] | np.uint64(1)
+        there = np.zeros(len(a), bool)
+        for field, bits, hashes in self.layers:
+            left = np.flatnonzero(~there)
+            at = _places(a[left], b[left], bits, hashes)
+            there[left] = (field[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(1)
+        first = np.zeros(len(a), bool)
+        first[np.unique(digests, axis=0, return_index=True)[1]] = True
+        new = np.flatnonzero(~there & first)
+        while len(new):
+            if not self.room:
+                self._grow()
+            put, new = new[: self.room], new[self.room :]
+            field, bits, hashes = self.layers[-1]
+            at = _places(a[put], b[put], bits, hashes).ravel()
+            np.bitwise_or.at(field, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+            self.room -= len(put)
+        return there | ~first
+
     def add(self, value: bytes) -> bool:
         """Whether the value was (probably) there before; it is there after."""
-        h = xxhash.xxh3_128_intdigest(value)
-        a, b = h & (1 << 64) - 1, h >> 64 | 1
-        for field, bits, hashes in self.layers:
-            if all(field[(x := (a + k * b) % bits) >> 3] >> (x & 7) & 1 for k in range(hashes)):
-                return True
-        if not self.room:
-            self._grow()
-        field, bits, hashes = self.layers[-1]
-        for k in range(hashes):
-            x = (a + k * b) % bits
-            field[x >> 3] |= 1 << (x & 7)
-        self.room -= 1
-        return False
+        return bool(self.add_all(np.frombuffer(xxhash.xxh3_128_digest(value), np.uint64).reshape(1, 2))[0])
+
+
+def _places(a: np.ndarray, b: np.ndarray, bits: int, hashes: int) -> np.ndarray:
+    """The bits of each digest, a row for each."""
+    return ((a[:, None] + np.arange(hashes, dtype=np.uint64) * b[:, None]) % np.uint64(bits)).astype(np.int64)
 
 
 def bloom_keep_first(df: DataFrame, column: str, order: Sequence[str], *, capacity: int = 1 << 16, error: float = 1e-4, partitions: int | None = None) -> DataFrame:
     """Keep-first by membership in a scalable Bloom filter: of the distinct values a share of less than ``error`` may be lost.
 
     Equal digests meet in one partition, sorted by the order, and each partition has a
+    filter of its own, which grows with the distinct values of the partition, by about 20
+    bits for each, and takes a batch at a time.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.withColumn("__d", _key(column, "md5")).repartition(n, "__d").sortWithinPartitions(*order)
@@ -98,7 +116,8 @@ def bloom_keep_first(df: DataFrame, column: str, order: Sequence[str], *, capaci
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = ScalableBloom(capacity, error)
         for b in batches:
-            new = [not seen.add(x.encode()) for x in b.column(b.num_columns - 1).to_pylist()]
+            digests = b"".join(xxhash.xxh3_128_digest(x) for x in b.column(b.num_columns - 1).to_pylist())
+            new = ~seen.add_all(np.frombuffer(digests, np.uint64).reshape(-1, 2))
             yield pa.RecordBatch.from_arrays(b.columns[:-1], names=b.schema.names[:-1]).filter(pa.array(new, pa.bool_()))
 
     return dealt.mapInArrow(run, T.StructType(dealt.schema.fields[:-1]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions.judge import as_number
@@ -83,9 +83,15 @@ def tags_contain(tags: Column, part: str, *, whole: bool = False) -> Column:
     return F.array_contains(tags, part) if whole else F.exists(tags, lambda t: F.contains(t, F.lit(part)))
 
 
-def first_rows(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
-    """The first n rows in the order; taken before any later filter."""
-    return df.orderBy(*order).limit(n)
+def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first n rows in the order, nulls first; taken before any later filter.
+
+    ``order`` must tell rows apart: ties at the end all stay.  Only the columns of the order
+    go through the top-k; whole rows are kept or not where they lie, by the last key.
+    """
+    key = F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(order)])
+    last = df.select(key.alias("__k")).orderBy("__k").limit(n).agg(F.max("__k").alias("__last"))
+    return df.join(F.broadcast(last), key <= F.col("__last")).drop("__last")
 
 
 def shuffle_key(seed: int, *key: str | Column) -> Column:
@@ -94,8 +100,29 @@ def shuffle_key(seed: int, *key: str | Column) -> Column:
 
 
 def sample_cap(df: DataFrame, cap: int = 500_000, *, seed: int = 0, key: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """At most ``cap`` rows, uniformly, the same on every run: a top-k by random order, so no more than cap rows leave a task."""
-    return df.orderBy(shuffle_key(seed, *key), *key).limit(cap)
+    """At most ``cap`` rows, the first by a random order, the same on every run.
+
+    ``key`` must tell rows apart; of rows with one key all stay or none.  Two passes over
+    keys find where the order is cut: counts of 2**16 ranges of it first, and then the keys
+    of the one range that the cut falls into.  Whole rows are kept or not where they lie,
+    and a table with no more rows than ``cap`` stays as it is.
+    """
+    place = shuffle_key(seed, *key)
+    ranges = df.groupBy(F.substring(place, 1, 4).alias("r")).agg(F.count("*").alias("n")).collect()
+    if sum(x["n"] for x in ranges) <= cap:
+        return df
+    room, cut = cap, "0000"
+    for x in sorted(ranges, key=lambda x: x["r"]):
+        cut = x["r"]
+        if x["n"] > room:
+            break
+        room -= x["n"]
+    own = Window.orderBy("__o", *key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = df.where(F.substring(place, 1, 4) == cut).groupBy(place.alias("__o"), *key).agg(F.count("*").alias("__n"))
+    last = inside.withColumn("__up", F.sum("__n").over(own)).where(F.col("__up") <= room).agg(F.max(F.struct("__o", *key)).alias("__last"))
+    before = F.substring(place, 1, 4) < cut
+    exactly = (F.substring(place, 1, 4) == cut) & (F.struct(place.alias("__o"), *key) <= F.col("__last"))
+    return df.join(F.broadcast(last), before | F.coalesce(exactly, F.lit(False))).drop("__last")
 
 
 def shuffled(df: DataFrame, *, seed: int = 1, key: Sequence[str] = ("doc_id",)) -> DataFrame:

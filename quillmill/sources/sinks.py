@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.sources.readers import _fs, exists
+from quillmill.staging import stage
 
 
 def parquet(df: DataFrame, path: str, *, shards: int | None = None) -> None:
@@ -50,10 +51,23 @@ def resume(spark: SparkSession, source: DataFrame, path: str, step, *, key: str
     todo = source
     if exists(spark, manifest):
         todo = source.join(spark.read.parquet(manifest).select(key), key, "left_anti")
-    names = todo.select(key).distinct()
+    # this run's files are written down before the step, and stay what they are whatever the source does meanwhile
+    names = stage(todo.select(key).distinct(), "run")
     fresh = names.count()
     if fresh:
-        done = [r[0] for r in names.collect()]  # one entry for each file of this run
         step(todo).write.mode("append").parquet(path)
-        spark.createDataFrame([(d,) for d in done], f"{key} string").write.mode("append").parquet(manifest)
+        names.write.mode("append").parquet(manifest)
     return fresh
+
+
+def moved(spark: SparkSession, source: str, target: str, *, prefix: str = "", old: str = "", new: str = "") -> None:
+    """The data files of a written directory moved into another, under names with a prefix and another ending."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    p, fs = _fs(spark, source)
+    fs.mkdirs(jvm_path(target))
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            name = name.removesuffix(old) + new if old else name
+            if not fs.rename(status.getPath(), jvm_path(f"{target}/{prefix}{name}")):
+                raise OSError(f"{status.getPath()} can't be moved to {target}")

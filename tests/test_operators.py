@@ -83,6 +83,19 @@ def test_samples(rows):
     assert [r.n for r in row_numbers(rows.select("doc_id"), ["doc_id"], "n", start=0).orderBy("doc_id").collect()] == list(range(400))
 
 
+def test_caps_keep_whole_rows_where_they_lie(spark):
+    rows = spark.createDataFrame([(k, f"text {k}") for k in range(3000)] + [(None, "no id")], "doc_id long, text string").repartition(5)
+    for cap in (1, 7, 1000, 3001):
+        got = select.sample_cap(rows, cap)
+        want = rows.withColumn("o", select.shuffle_key(0, "doc_id")).orderBy("o", "doc_id").limit(cap)
+        assert sorted(map(repr, got.collect())) == sorted(repr(r) for r in want.drop("o").collect())
+    assert select.sample_cap(rows.limit(0), 5).count() == 0 and select.first_rows(rows.limit(0), 5, "doc_id").count() == 0
+    assert sorted(r.doc_id or 0 for r in select.first_rows(rows, 4, "doc_id").collect()) == [0, 0, 1, 2]
+    assert [r.doc_id for r in select.first_rows(rows, 3, "text", "doc_id").orderBy("text").collect()] == [None, 0, 1]
+    twice = rows.unionByName(rows)
+    assert select.sample_cap(twice, 8).count() in (7, 8) and select.sample_cap(twice, 8).dropDuplicates().count() == 4
+
+
 def test_sets(spark):
     a, b = spark.createDataFrame([(1,), (1,), (None,), (2,)], "x int"), spark.createDataFrame([(2,), (3,)], "x int")
     assert {r.x for r in select.set_union(a, b).collect()} == {1, 2, 3, None} and {r.x for r in select.set_difference(a, b).collect()} == {1, None}
