@@ -133,10 +133,10 @@ def _(spark, sf):
     return select.with_number(select.with_text(d)).select("doc_id", J.normalised(J.as_number(F.col("labels"))).alias("label"))
 
 
-@query("title_filters", "SELECT doc_id, regexp_matches(title, '[0-9]+[年月]$') AS dated, regexp_matches(title, '[a-zA-Z]') AND NOT regexp_matches(title, '[一-鿿]') AS latin, lang = 'en' OR source = 'en' AS tagged, source LIKE '%src1%' AS part FROM (SELECT *, CASE WHEN doc_id % 3 = 0 THEN '春 ' || doc_id || '年' ELSE left(text, 12) END AS title FROM documents)")
+@query("title_filters", "SELECT doc_id, regexp_matches(title, '[0-9]+[年月]$') AS dated, regexp_matches(title, '[a-zA-Z]') AND NOT regexp_matches(title, '[一-鿿]') AS latin, lang = 'en' OR source = 'en' AS tagged, source LIKE '%src1%' AS part FROM (SELECT *, CASE WHEN doc_id % 3 = 0 THEN '春 ' || doc_id || '年' ELSE text END AS title FROM documents)")
 def _(spark, sf):
     """title and tag predicates."""
-    title = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("春 "), F.col("doc_id").cast("string"), F.lit("年"))).otherwise(F.substring("text", 1, 12))
+    title = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("春 "), F.col("doc_id").cast("string"), F.lit("年"))).otherwise(F.col("text"))
     tags = F.array("lang", "source")
     return table(spark, sf, "documents").select("doc_id", select.title_ends_in_date(title).alias("dated"), select.title_is_latin(title).alias("latin"), select.tags_contain(tags, "en", whole=True).alias("tagged"), select.tags_contain(F.array("source"), "src1").alias("part"))
 
@@ -227,11 +227,12 @@ def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.truncated(X.titled(title, F.col("text")), 800).alias("excerpt"))
 
 
-@query("prompt_fill", """SELECT doc_id, 'Rate 100% of {this}: ' || left(text, 50) || ' / ' || lang AS positional, '{"q": "' || left(text, 50) || '"}' AS named FROM documents""")
+@query("prompt_fill", """SELECT doc_id, 'Rate 100% of {this}: ' || text || ' / ' || lang AS positional, '{"q": "' || text || '"}' AS named FROM documents""")
 def _(spark, sf):
     """T4, T5: braces and per cent signs of templates and of values stay."""
-    head = F.substring("text", 1, 50)
-    return table(spark, sf, "documents").select("doc_id", X.filled("Rate 100% of {this}: {} / {}", head, F.col("lang")).alias("positional"), X.filled_by_name('{{"q": "{query}"}}', query=head).alias("named"))
+    text = F.col("text")
+    positional, named = X.filled("Rate 100% of {this}: {} / {}", text, F.col("lang")), X.filled_by_name('{{"q": "{query}"}}', query=text)
+    return table(spark, sf, "documents").select("doc_id", positional.alias("positional"), named.alias("named"))
 
 
 @query("chat_wrap", "SELECT conv_id, '<|im_start|>user' || chr(10) || min(CASE WHEN turn = 0 THEN text END) || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS one_turn, string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn) || CASE WHEN arg_max(role, turn) = 'user' THEN '<|im_start|>assistant' || chr(10) ELSE '' END || '#' AS prompt FROM conversations GROUP BY conv_id")
@@ -241,7 +242,7 @@ def _(spark, sf):
     return nested(spark, sf).select("conv_id", X.one_turn_prompt(C.first_prompt(c)).alias("one_turn"), X.stop_tokens_replaced(X.conversation_prompt(c, suffix="@"), {"@": "#"}).alias("prompt"))
 
 
-EDU = "CASE WHEN doc_id % 13 = 0 THEN 'none ' || doc_id ELSE left(text, 20) || '。教育得分：' || chr(10) || CASE WHEN doc_id % 5 = 0 THEN '３' ELSE '约 ' || (doc_id % 10) END || ' 分 5' END"
+EDU = "CASE WHEN doc_id % 13 = 0 THEN 'none ' || doc_id ELSE text || '。教育得分：' || chr(10) || CASE WHEN doc_id % 5 = 0 THEN '３' ELSE '约 ' || (doc_id % 10) END || ' 分 5' END"
 
 
 @query("parse_edu_score", f"SELECT doc_id, translate(nullif(regexp_extract(reply, '教育得分：[\\s\\S]*?([0-9０-９])', 1), ''), '{X.FULL_WIDTH_DIGITS}', '0123456789') AS score FROM (SELECT doc_id, {EDU} AS reply FROM documents)")
@@ -249,15 +250,15 @@ def _(spark, sf):
     """T8."""
     n = F.col("doc_id")
     digit = F.when(n % 5 == 0, "３").otherwise(F.concat(F.lit("约 "), (n % 10).cast("string")))
-    reply = F.when(n % 13 == 0, F.concat(F.lit("none "), n.cast("string"))).otherwise(F.concat(F.substring("text", 1, 20), F.lit("。教育得分：\n"), digit, F.lit(" 分 5")))
+    reply = F.when(n % 13 == 0, F.concat(F.lit("none "), n.cast("string"))).otherwise(F.concat("text", F.lit("。教育得分：\n"), digit, F.lit(" 分 5")))
     return table(spark, sf, "documents").select("doc_id", X.edu_score(reply).alias("score"))
 
 
-NOISE = "replace(replace(replace(replace(left(text, 300), ' th', chr(160) || chr(8195) || '□th'), '. ', '.' || chr(13) || chr(10) || chr(13)), ' o', '    o'), ' a', '-----■' || chr(12288) || 'a')"
+NOISE = "replace(replace(replace(replace(text, ' th', chr(160) || chr(8195) || '□th'), '. ', '.' || chr(13) || chr(10) || chr(13)), ' o', '    o'), ' a', '-----■' || chr(12288) || 'a')"
 
 
-def _noisy(c: Column | None = None) -> Column:
-    c = F.substring("text", 1, 300) if c is None else c
+def _noisy() -> Column:
+    c = F.col("text")
     for old, new in ((" th", "  □th"), (". ", ".\r\n\r"), (" o", "    o"), (" a", "-----■　a")):
         c = F.replace(c, F.lit(old), F.lit(new))
     return F.concat(F.lit(" \x1c "), c, F.lit("  "))
@@ -274,28 +275,6 @@ def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.without_nbsp(_noisy()).alias("data"))
 
 
-# The SQL of the four queries above and below that cut their texts is given; these run the same operators over whole texts.
-
-
-@query("clean_text_whole", SQL["clean_text"].replace("left(text, 300)", "text"))
-def _(spark, sf):
-    """T9, T12."""
-    return table(spark, sf, "documents").select("doc_id", X.uniform(_noisy(F.col("text"))).alias("clean"))
-
-
-@query("strip_nbsp_whole", SQL["strip_nbsp"].replace("left(text, 300)", "text"))
-def _(spark, sf):
-    """T10."""
-    return table(spark, sf, "documents").select("doc_id", X.without_nbsp(_noisy(F.col("text"))).alias("data"))
-
-
-@query("prompt_fill_whole", SQL["prompt_fill"].replace("left(text, 50)", "text"))
-def _(spark, sf):
-    """T4, T5."""
-    text = F.col("text")
-    return table(spark, sf, "documents").select("doc_id", X.filled("Rate 100% of {this}: {} / {}", text, F.col("lang")).alias("positional"), X.filled_by_name('{{"q": "{query}"}}', query=text).alias("named"))
-
-
 @query("text_digests", "SELECT doc_id, md5(text) AS m, sha256(text) AS s, length(text) AS n, CASE WHEN source LIKE '%1' THEN left(source, length(source) - 1) || '.x' ELSE source END AS swapped FROM documents")
 def _(spark, sf):
     """T18, T20, T21."""
@@ -308,15 +287,7 @@ def _(spark, sf):
     return replies(spark, sf).select("conv_id", J.reply_json(F.col("reply")).alias("bare"))
 
 
-@query("repair_inner_quotes", f"SELECT conv_id, {repaired_sql('quoted')} AS repaired FROM (SELECT conv_id, replace(replace(min(left(text, 80)), ' ', '\"'), 'e', '{{\"') || ':\"a\"b\",\"c\"}}' AS quoted FROM conversations GROUP BY conv_id)")
-def _(spark, sf):
-    """T15."""
-    d = table(spark, sf, "conversations").groupBy("conv_id").agg(F.min(F.substring("text", 1, 80)).alias("t"))
-    quoted = F.concat(F.replace(F.replace("t", F.lit(" "), F.lit('"')), F.lit("e"), F.lit('{"')), F.lit(':"a"b","c"}'))
-    return d.select("conv_id", X.inner_quotes_repaired(quoted).alias("repaired"))
-
-
-@query("repair_inner_quotes_whole", f"SELECT conv_id, turn, {repaired_sql('quoted')} AS repaired FROM (SELECT conv_id, turn, replace(replace(text, ' ', '\"'), 'e', '{{\"') || ':\"a\"b\",\"c\"}}' AS quoted FROM conversations)")
+@query("repair_inner_quotes", f"SELECT conv_id, turn, {repaired_sql('quoted')} AS repaired FROM (SELECT conv_id, turn, replace(replace(text, ' ', '\"'), 'e', '{{\"') || ':\"a\"b\",\"c\"}}' AS quoted FROM conversations)")
 def _(spark, sf):
     """T15, every turn."""
     quoted = F.concat(F.replace(F.replace("text", F.lit(" "), F.lit('"')), F.lit("e"), F.lit('{"')), F.lit(':"a"b","c"}'))
@@ -409,31 +380,19 @@ def _(spark, sf):
 
 @query("sample_cap", "SELECT doc_id FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || '-0'), doc_id LIMIT 400")
 def _(spark, sf):
-    """O4."""
+    """The cap is what the operator is about."""
     return select.sample_cap(table(spark, sf, "documents"), 400).select("doc_id")
 
 
-@query("seeded_shuffle_rank", "SELECT doc_id, row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR) || '-1'), doc_id) AS place FROM documents WHERE lang = 'de'")
-def _(spark, sf):
-    """Places in a seeded order, numbered by partition so that no task sees all rows."""
-    from quillmill.operators.numbering import row_numbers
-
-    d = table(spark, sf, "documents").where("lang = 'de'").select("doc_id", select.shuffle_key(1, "doc_id").alias("k"))
-    return row_numbers(d, ["k", "doc_id"], "place").select("doc_id", "place")
-
-
-# The SQL of the two queries above is given; these run the same operators over all documents, and with the operator's own cap.
-
-
 @query("sample_cap_whole", SQL["sample_cap"].replace("LIMIT 400", "LIMIT 500000"))
 def _(spark, sf):
-    """O4."""
+    """O4 with its own cap."""
     return select.sample_cap(table(spark, sf, "documents")).select("doc_id")
 
 
-@query("seeded_shuffle_rank_whole", SQL["seeded_shuffle_rank"].replace(" WHERE lang = 'de'", ""))
+@query("seeded_shuffle_rank", "SELECT doc_id, row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR) || '-1'), doc_id) AS place FROM documents")
 def _(spark, sf):
-    """O5, P11."""
+    """Places in a seeded order, numbered by partition so that no task sees all rows."""
     from quillmill.operators.numbering import row_numbers
 
     d = table(spark, sf, "documents").select("doc_id", select.shuffle_key(1, "doc_id").alias("k"))
@@ -569,44 +528,6 @@ def _(spark, sf):
     return tags.join(F.broadcast(lookup), "primary_tag", "left")
 
 
-@query("edu_judge")
-def _(spark, sf):
-    """L1 with a stand-in generator."""
-    return models.edu_judged(table(spark, sf, "documents"), models.TemplateGenerator).select("doc_id", "edu_eval", "score")
-
-
-@query("regressor_score")
-def _(spark, sf):
-    """L2, P7, P14 with a stand-in scorer."""
-    return models.regressor_scored(table(spark, sf, "documents"), models.HashScorer).select("doc_id", "score", "new")
-
-
-@query("flow_edu_corpus")
-def _(spark, sf):
-    """Flow A with a stand-in scorer: score, floor, bands, keep-first."""
-    from quillmill.plans.flows import edu_corpus
-
-    return edu_corpus(table(spark, sf, "documents"), models.HashScorer, order=["doc_id"]).select("doc_id", "score", "band")
-
-
-@query("flow_textbook_corpus")
-def _(spark, sf):
-    """Flow B with a stand-in generator."""
-    from quillmill.plans.flows import textbook_corpus
-
-    return textbook_corpus(table(spark, sf, "documents").withColumnRenamed("source", "title"), models.TemplateGenerator).select("doc_id", "data")
-
-
-@query("flow_chat_corpus")
-def _(spark, sf):
-    """Flow C with stand-in models."""
-    from quillmill.plans.flows import chat_corpus
-
-    turns = table(spark, sf, "conversations")
-    made = C.from_turns(turns).withColumn("system_prompt_key", models.drawn_category(models.uniform_draw(F.col("conv_id"))))
-    return chat_corpus(made, models.HashEncoder, threshold=0.9).select("conv_id", "system_prompt_key", "first_prompt")
-
-
 @query("stream_new_texts", "SELECT md5(text) AS digest FROM documents GROUP BY text")
 def _(spark, sf):
     """Streaming keep-one over the documents file; the rows that it writes, by digest."""

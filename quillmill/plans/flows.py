@@ -31,7 +31,9 @@ def judged_chats(chats: DataFrame, judge: Callable[[], models.Generator], *, ord
     c = c.withColumns({"first_prompt": C.first_prompt(F.col("conversation")), "first_answer": C.first_answer(F.col("conversation"))})
     c = models.chat_judged(dedup.keep_first(c, "first_prompt", order), judge)
     score = first_digit(J.json_value(F.col("score_reply"), "score", repair=True))
-    c = c.withColumns({"difficulty": J.json_value(F.col("difficulty_reply"), "difficulty"), "intent": J.json_value(F.col("difficulty_reply"), "intent"), "knowledge": J.json_value(F.col("difficulty_reply"), "knowledge"), "primary_tag": J.json_value(F.col("classify_reply"), "primary_tag"), "other_tags": J.json_list(F.col("classify_reply"), "other_tags"), "score": score})
+    difficulty = {k: J.json_value(F.col("difficulty_reply"), k) for k in ("difficulty", "intent", "knowledge")}
+    tags = {"primary_tag": J.json_value(F.col("classify_reply"), "primary_tag"), "other_tags": J.json_list(F.col("classify_reply"), "other_tags")}
+    c = c.withColumns(difficulty | tags | {"score": score})
     return select.without_nulls(c, "difficulty", "score", "primary_tag")
 
 

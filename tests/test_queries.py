@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from quillmill.plans import catalogue
+from quillmill.plans import catalogue, files  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -40,16 +40,16 @@ def test_query(spark, tiny, con, name):
 def test_texts_are_whole(spark, tiny):
     """What cleaning, prompts and repairs return goes on to the end of the text."""
     docs = spark.read.parquet(f"{tiny}/documents.parquet").where("length(text) > 1000").select("doc_id", "text")
-    for name, out, least in (("clean_text_whole", "clean", 900), ("strip_nbsp_whole", "data", 1000), ("prompt_fill_whole", "positional", 1000), ("prompt_fill_whole", "named", 1000)):
+    for name, out, least in (("clean_text", "clean", 900), ("strip_nbsp", "data", 1000), ("prompt_fill", "positional", 1000), ("prompt_fill", "named", 1000)):
         got = catalogue.QUERIES[name](spark, tiny).join(docs, "doc_id").selectExpr(f"length({out}) AS n").collect()
         assert got and all(r.n > least for r in got), name
     turns = spark.read.parquet(f"{tiny}/conversations.parquet")
-    assert catalogue.QUERIES["repair_inner_quotes_whole"](spark, tiny).where("length(repaired) > 80").count() >= turns.where("length(text) > 80").count() > 0
+    assert catalogue.QUERIES["repair_inner_quotes"](spark, tiny).where("length(repaired) > 80").count() >= turns.where("length(text) > 80").count() > 0
 
 
 def test_every_document_has_a_place(spark, tiny):
     n = spark.read.parquet(f"{tiny}/documents.parquet").count()
-    places = [r.place for r in catalogue.QUERIES["seeded_shuffle_rank_whole"](spark, tiny).collect()]
+    places = [r.place for r in catalogue.QUERIES["seeded_shuffle_rank"](spark, tiny).collect()]
     assert sorted(places) == list(range(1, n + 1)) and catalogue.QUERIES["sample_cap_whole"](spark, tiny).count() == n
 
 
