@@ -3,6 +3,15 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that the one before kept, and
 all but the last return the columns of documents.  ``run`` writes what a stage returns
 to the shared folder and hands it, read back, to the next.
+
+Defined cases, for all stages.  A null text counts as empty: the classifier gives it the score of
+its bias, all empty texts are copies of one another, and it has no tokens, so that the last stage
+returns it without a sequence.  A null id is never held out, is kept by the near-duplicate stage,
+and ranks last among copies.  Of rows that tie on id exactly one copy stays, and rows that share an
+id and differ in text are judged each by its own.  Texts of any length are read whole.  Repeated
+rows are copies.  An empty table, or one that a stage empties, gives an empty result; without labels
+the classifier keeps all and mixing repeats nothing.  Other columns, whatever their names, reach
+the last stage as they are.
 """
 
 from __future__ import annotations
