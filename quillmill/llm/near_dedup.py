@@ -15,14 +15,16 @@
    pairs; those at or above the threshold are confirmed on the full sets.  This is one row
    for each posting, and connects most of what is connected.
 5. Skip merging: lists whose members are connected already, or that hold a hub and one
-   other, are done.  In the others collisions are counted between members that are not yet
-   connected, each pair in the first list that it shares and in no other.  Of a member's
-   partners the closest are confirmed first, and what this connects is skipped when further
-   ones are; windows widen until no candidate is left.  A list longer than a block is dealt
-   to tasks as pairs of blocks.
+   other, are done.  The members of the others, with their sets, are dealt to tasks, by
+   family (what such lists connect) or by list, whichever sends fewer rows; what is larger
+   than a block is dealt as pairs of blocks.  There collisions are counted between members
+   that are not yet connected, and what a confirmed link connects is skipped from then on.
+   Only links that connect something are returned, so there are never all pairs of a group.
 6. Connected components of the links give the smallest id that each class reaches.
 
-No pair is ever taken from anything but a posting list, and a pair is confirmed once.
+A family deals m * m / BLOCK rows and a list as many over its own length, so that neither a
+few very long lists nor very many short ones that hang together are quadratic in what holds
+them.
 
 A link may be missed only if its signatures collide in fewer coordinates than the
 threshold: with 64 coordinates and 40 matches a link at similarity 0.85 is missed with
@@ -53,8 +55,7 @@ from quillmill.operators.components import component_labels
 from quillmill.staging import drop, stage
 
 COORDINATES, MATCHES = 64, 40
-BLOCK = 512  # members of a list that are compared at a time
-WINDOW = 16  # closest partners of a member that are confirmed first
+BLOCK = 512  # members of a list or family that are compared at a time
 _SEEDS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _WORD = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -172,117 +173,118 @@ def confirmed(pairs: DataFrame, members: DataFrame, *, matches: int, percent: in
     return both.where((100 + percent) * F.size(F.array_intersect("elements_u", "elements_v")) >= percent * F.col("n")).select("u", "v")
 
 
-class _List:
-    """A list, or a pair of its blocks, as the rows come: representatives, labels, own pairs, and the block of each."""
+class _Unit:
+    """A family or a list, or a pair of its blocks, as the rows come: representatives, labels, own pairs, sets, and the block of each."""
 
-    def __init__(self, token: int, a: int, b: int) -> None:
+    def __init__(self, token: int | None, a: int, b: int) -> None:
         self.token, self.a, self.b = token, a, b
         self.reps: list[bytes] = []
         self.labels: list[bytes] = []
         self.owns: list[np.ndarray] = []
+        self.sets: list[np.ndarray] = []
         self.blocks: list[int] = []
 
-    def candidates(self, low: int, high: int, matches: int) -> tuple[list[tuple[bytes, bytes]], int]:
-        """Pairs not connected yet that collide in ``matches`` coordinates or more, this list being the first that they share.
-
-        Of these the pairs in which one is among the other's partners from the ``low``-th up to the ``high``-th closest; and how many there are beyond.
-        """
+    def links(self, matches: int, percent: int) -> list[tuple[bytes, bytes]]:
+        """Links that connect what was not connected; of a list's, those of pairs whose first common pair is the list's."""
         n = len(self.reps)
         values, place = np.empty((n, COORDINATES), np.int64), np.full((n, COORDINATES), 255, np.uint8)
         values[:] = -1 - np.arange(n)[:, None]  # equals nothing
         for k, own in enumerate(self.owns):
             values[k, own >> 32] = own
             place[k, own >> 32] = np.arange(len(own))
-        label = np.unique(np.array(self.labels, object), return_inverse=True)[1]
-        blocks = np.array(self.blocks)
+        size = np.array([len(x) for x in self.sets])
+        whole, starts = np.concatenate(self.sets), np.r_[0, np.cumsum(size)]
+        group = np.unique(np.array(self.labels, object), return_inverse=True)[1]
+        blocks, out = np.array(self.blocks), []
         left, right = np.flatnonzero(blocks == self.a), np.flatnonzero(blocks == self.b)
-        found_i, found_j, count = [], [], []
         for t, i in enumerate(left):
-            js = left[t + 1 :] if self.a == self.b else right
+            js = left[:t] if self.a == self.b else right
+            js = js[(group[js] != group[i]) & (100 * np.minimum(size[js], size[i]) >= percent * np.maximum(size[js], size[i]))]
             if not len(js):
                 continue
             same = values[js] == values[i]
-            times = same.sum(1)
-            ok = np.flatnonzero(times >= matches)
-            if len(ok):
-                first = np.where(same[ok], place[i], 255).argmin(1)
-                ok = ok[values[i, first] == self.token]
-                found_i.append(np.full(len(ok), i))
-                found_j.append(js[ok])
-                count.append(times[ok])
-        if not found_i:
-            return [], 0
-        i, j, c = (np.concatenate(x) for x in (found_i, found_j, count))
-        rank = np.minimum(_ranks(i, c), _ranks(j, c))
-        apart = label[i] != label[j]
-        now = np.flatnonzero(apart & (rank >= low) & (rank < high))
-        return [(self.reps[x], self.reps[y]) for x, y in zip(i[now], j[now], strict=True)], int((apart & (rank >= high)).sum())
-
-
-def _ranks(owner: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The place of each pair among those of its owner, most collisions first."""
-    order = np.lexsort((-count, owner))
-    starts = np.flatnonzero(np.r_[True, owner[order][1:] != owner[order][:-1]])
-    out = np.empty(len(owner), np.int64)
-    out[order] = np.arange(len(owner)) - np.repeat(starts, np.diff(np.r_[starts, len(owner)]))
-    return out
-
-
-def _merged(low: int, high: int, matches: int):
-    """Rows (token, a, b, block, rep, label, own) in the order of the first three -> candidates (u, v, 0), and a row with nulls and the number of those beyond."""
-
-    def out(pairs: list[tuple[bytes | None, bytes | None]], more: int = 0) -> pa.RecordBatch:
-        cols = [pa.array([x for x, _ in pairs], pa.binary()), pa.array([y for _, y in pairs], pa.binary()), pa.array([more if x is None else 0 for x, _ in pairs], pa.int64())]
-        return pa.RecordBatch.from_arrays(cols, names=["u", "v", "more"])
+            near = same.sum(1) >= matches
+            js, same = js[near], same[near]
+            if self.token is not None and len(js):
+                js = js[values[i, np.where(same, place[i], 255).argmin(1)] == self.token]
+            if not len(js):
+                continue
+            ends = np.r_[0, np.cumsum(size[js])]
+            pick = np.repeat(starts[js] - ends[:-1], size[js]) + np.arange(ends[-1])
+            spot = np.minimum(np.searchsorted(self.sets[i], whole[pick]), size[i] - 1)
+            common = np.add.reduceat((self.sets[i][spot] == whole[pick]).astype(np.int64), ends[:-1])
+            yes = js[(100 + percent) * common >= percent * (size[js] + size[i])]
+            if len(yes):
+                _, first = np.unique(group[yes], return_index=True)
+                out += [(self.reps[i], self.reps[j]) for j in yes[first]]
+                group[np.isin(group, group[yes])] = group[i]
+        return out
+
+
+def _linked(matches: int, percent: int):
+    """Rows (unit, a, b, token, block, rep, label, own, elements) in the order of the first three -> links (u, v)."""
+
+    def out(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.binary()), pa.array([y for _, y in pairs], pa.binary())], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, more, pairs = None, 0, []
+        now, at, pairs = None, None, []
         for b in batches:
-            keys = list(zip(*(b.column(k).to_pylist() for k in range(4)), strict=True))
-            own = b.column(6)
-            flat_own, at = own.values.to_numpy(), own.offsets.to_numpy()
-            for k, ((token, x, y, block), rep, label) in enumerate(zip(keys, b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)):
-                if now is None or (token, x, y) != (now.token, now.a, now.b):
+            keys = list(zip(*(b.column(k).to_pylist() for k in range(5)), strict=True))
+            own, elements = b.column(7), b.column(8)
+            for k, ((unit, x, y, token, block), rep, label) in enumerate(zip(keys, b.column(5).to_pylist(), b.column(6).to_pylist(), strict=True)):
+                if (unit, x, y) != at:
                     if now is not None:
-                        found, beyond = now.candidates(low, high, matches)
-                        pairs += found
-                        more += beyond
-                    now = _List(token, x, y)
+                        pairs += now.links(matches, percent)
+                    now, at = _Unit(token, x, y), (unit, x, y)
                 now.reps.append(rep)
                 now.labels.append(label)
-                now.owns.append(flat_own[at[k] : at[k + 1]].copy())
+                now.owns.append(own[k].values.to_numpy().copy())
+                now.sets.append(elements[k].values.to_numpy().view(np.uint64).copy())
                 now.blocks.append(block)
             if len(pairs) > 4096:
                 yield out(pairs)
                 pairs = []
         if now is not None:
-            found, beyond = now.candidates(low, high, matches)
-            pairs += found
-            more += beyond
-        if more:
-            pairs.append((None, None))
+            pairs += now.links(matches, percent)
         if pairs:
-            yield out(pairs, more)
+            yield out(pairs)
 
     return run
 
 
 def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(token, rep, label, blocks)`` of the lists whose members are not all connected; those of two have been compared."""
+    """``(token, rep, m)`` of the lists whose members, m of them, are not all connected; those of two have been compared."""
     known = labels.select(F.col("id").alias("rep"), "label")
     rows = lists.select("token", "rep").join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     left = rows.groupBy("token").agg(F.count("*").alias("m"), F.min("label").alias("a"), F.max("label").alias("b")).where("m > 2 AND a <> b")
-    return rows.join(left.select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "token")
-
-
-def further_pairs(todo: DataFrame, mine: DataFrame, low: int, high: int, matches: int) -> DataFrame:
-    """Candidates (u, v, more) of the open lists, by pairs of blocks; a row of nulls says how many more there are beyond ``high``."""
-    n = int(todo.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = todo.join(mine.select("rep", "own"), "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("token", F.least("x", "block").alias("a"), F.greatest("x", "block").alias("b"), "block", "rep", "label", "own")
-    dealt = rows.repartition(n, "token", "a", "b").sortWithinPartitions("token", "a", "b")
-    return dealt.mapInArrow(_merged(low, high, matches), "u binary, v binary, more long")
+    return rows.join(left.select("token", "m"), "token").select("token", "rep", "m")
+
+
+def units(todo: DataFrame) -> DataFrame:
+    """``(rep, unit, token, blocks)``: where each member of an open list goes, to its family or to each of its lists."""
+    blocks = lambda m: F.ceil(F.col(m) / BLOCK).cast("int")
+    hubs = todo.groupBy("token").agg(F.min("rep").alias("hub"), F.first("m").alias("m"))
+    stars = todo.select("token", "rep").join(hubs, "token").where("rep <> hub").select(F.col("rep").alias("u"), F.col("hub").alias("v"))
+    family = component_labels(stars).select(F.col("id").alias("rep"), F.col("label").alias("family"))
+    sizes = family.groupBy("family").agg(F.count("*").alias("members"))
+    by_list = hubs.join(family.withColumnRenamed("rep", "hub"), "hub").groupBy("family").agg(F.sum(F.col("m") * blocks("m")).alias("cost"))
+    how = sizes.join(by_list, "family").select("family", blocks("members").alias("blocks"), (F.col("cost") < F.col("members") * blocks("members")).alias("apart"))
+    placed = stage(family.join(how, "family"), "families")
+    whole = placed.where("NOT apart").select("rep", F.hex("family").alias("unit"), F.lit(None).cast("long").alias("token"), "blocks")
+    apart = todo.join(placed.where("apart").select("rep"), "rep").select("rep", F.concat(F.lit("list "), F.col("token").cast("string")).alias("unit"), "token", blocks("m").alias("blocks"))
+    return whole.unionByName(apart)
+
+
+def further_links(dealt: DataFrame, labels: DataFrame, members: DataFrame, *, matches: int, percent: int) -> DataFrame:
+    """Links (u, v) between members of one unit that are not connected yet."""
+    n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = labels.select(F.col("id").alias("rep"), "label")
+    rows = dealt.join(members.join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "rep")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("unit", F.least("x", "block").alias("a"), F.greatest("x", "block").alias("b"), "token", "block", "rep", "label", "own", "elements")
+    ordered = rows.repartition(n, "unit", "a", "b").sortWithinPartitions("unit", "a", "b")
+    return ordered.mapInArrow(_linked(matches, percent), "u binary, v binary")
 
 
 def class_labels(docs: DataFrame, classes: DataFrame, *, size: int, percent: int, matches: int, id_col: str, text_col: str) -> DataFrame:
@@ -294,25 +296,16 @@ def class_labels(docs: DataFrame, classes: DataFrame, *, size: int, percent: int
     listed = lists.select("rep").distinct().join(mine.select("rep", "own"), "rep").join(classes.select("rep", "id", "n"), "rep")
     made = listed.join(texts, "id").select("rep", "n", "own", "text")
     members = stage(made.mapInArrow(_elements(size), "rep binary, n long, own array<long>, elements array<long>").dropDuplicates(["rep"]), "members")
+    drop(mine)
     stars = lists.where("rep <> hub").select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct()
     links = stage(confirmed(stars, members, matches=matches, percent=percent), "links")
-    low, high = 0, WINDOW
-    while True:
-        labels = component_labels(links)
-        todo = stage(open_lists(lists, labels), "open")
-        postings = todo.count()
-        if not postings:
-            break
-        found = stage(further_pairs(todo, mine, low, high, matches), "pairs")
-        pairs, beyond = found.agg(F.count("u"), F.coalesce(F.sum("more"), F.lit(0))).first()
-        if pairs:
-            links = links.union(stage(confirmed(found.select("u", "v").where("u IS NOT NULL"), members, matches=matches, percent=percent), "links"))
-        if not beyond:
-            labels = component_labels(links) if pairs else labels
-            break
-        # what is no more than the postings is confirmed at once; else windows widen, as links found save further pairs
-        low, high = high, 2 * BLOCK if beyond <= postings else 4 * high
-    drop(mine, lists, members, todo)
+    labels = component_labels(links)
+    todo = stage(open_lists(lists, labels), "open")
+    if todo.limit(1).count():
+        more = stage(further_links(units(todo), labels, members, matches=matches, percent=percent), "links")
+        if more.limit(1).count():
+            labels = component_labels(links.union(more))
+    drop(lists, members, todo)
     return labels
 
 
