@@ -610,7 +610,8 @@ def wrappers(pages: DataFrame, *, url_col: str = "url", html_col: str = "html",
         for x in sorted(pdf["part"]):
             fold.add(pdf["host"].iloc[0], _unpacked(json.loads(x)))
         found = fold.flush()[pdf["host"].iloc[0]]
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "pages": [found.pages], "wrapper": [found.notation()], "path": [json.dumps(region(rescue(found)))], "known": [json.dumps(known(found))]})
+        row = {"host": pdf["host"].iloc[0], "pages": found.pages, "wrapper": found.notation(), "path": json.dumps(region(rescue(found)))}
+        return pd.DataFrame([row | {"known": json.dumps(known(found))}])
 
     parts = map_arrow(rows, part, T.StructType([T.StructField("host", T.StringType()), T.StructField("part", T.StringType())]))
     return parts.groupBy("host").applyInPandas(run, "host string, pages long, wrapper string, path string, known string")

@@ -23,7 +23,8 @@ rate follows its posterior.  A domain without labelled rows (or with none short
 learn from) can't be predicted: a target for it is an error, as are negative or all-zero
 weights.  Only the built-in targets leave out domains that have no documents at all, with a
 warning.  A learned domain without a target has the target 0.  Without labelled rows there
-are no domains, and without targets nothing to meet: every rate is 1.  Empty tables give empty results.  Repeated rows have equal rates and equal draws.  Other columns pass through.
+are no domains, and without targets nothing to meet: every rate is 1.  Empty tables give
+empty results.  Repeated rows have equal rates and equal draws.  Other columns pass through.
 """
 
 from __future__ import annotations
@@ -105,7 +106,14 @@ def posteriors(column: pa.Array, d: Domains) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_domains(
-    docs: DataFrame, labels: DataFrame, *, domain_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    domain_col: str = "lang",
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    sample_rows: int = SAMPLE_ROWS,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> Domains:
     """Learns from labelled rows (those with an id in ``labels``).
 

@@ -100,7 +100,17 @@ def pack_shard(lengths: list[int], sources: list, clusters: list, capacity: int)
     return out
 
 
-def pack(docs: DataFrame, *, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, id_col: str = "doc_id", source: Column | None = None, length: Column | None = None, cluster: Column | None = None, text_col: str = "text") -> DataFrame:
+def pack(
+    docs: DataFrame,
+    *,
+    capacity: int = CAPACITY,
+    shard_rows: int = SHARD_ROWS,
+    id_col: str = "doc_id",
+    source: Column | None = None,
+    length: Column | None = None,
+    cluster: Column | None = None,
+    text_col: str = "text",
+) -> DataFrame:
     """One row for each piece of each document (PLACED): the bin it is in and the tokens before it there."""
     if capacity < 1 or shard_rows < 1:
         raise ValueError("capacity and shard_rows are positive")
@@ -130,10 +140,12 @@ def pack(docs: DataFrame, *, capacity: int = CAPACITY, shard_rows: int = SHARD_R
         base = int(pdf["shard"].iloc[0]) << 32
         placed = pd.DataFrame(pack_shard(lengths, clean("source"), clean("cluster"), capacity), columns=["row", "piece", "first_token", "bin", "at"], dtype="int64")
         out = pdf.iloc[placed["row"]].reset_index(drop=True)
-        out = out.assign(piece=placed["piece"], first_token=placed["first_token"], n_tokens=(out["n"] - placed["first_token"]).clip(upper=capacity), bin_id=base + placed["bin"], at=placed["at"])
+        size = (out["n"] - placed["first_token"]).clip(upper=capacity)
+        out = out.assign(piece=placed["piece"], first_token=placed["first_token"], n_tokens=size, bin_id=base + placed["bin"], at=placed["at"])
         none = pdf[pdf["n"] == 0].assign(piece=0, first_token=0, n_tokens=0, bin_id=None, at=None)
         out = pd.concat([out.astype(object), none.astype(object)]) if len(none) else out
-        return out[["doc_id", "piece", "first_token", "n_tokens", "source", "cluster", "bin_id", "at"]].astype({c: "Int64" for c in ("doc_id", "piece", "first_token", "n_tokens", "cluster", "bin_id", "at")})
+        names = ["doc_id", "piece", "first_token", "n_tokens", "source", "cluster", "bin_id", "at"]
+        return out[names].astype({c: "Int64" for c in names if c != "source"})
 
     return rows.groupBy("shard").applyInPandas(run, PLACED)
 

@@ -154,7 +154,17 @@ class Contexts:
             core = np.concatenate([self.left[ok, :x], self.right[ok, : self.side - y]], axis=1)
             power = _power(core.shape[1] + 1)[0][1:]
             g = mix(mix(self.g[ok] + np.uint64((x + 1) * int(_ODD) % (1 << 64))) ^ (_SPREAD[core] * power[None, : core.shape[1]]).sum(1, dtype=np.uint64))
-            yield Contexts(g=g, left=self.left[ok, x:y], right=self.right[ok, self.side - y : self.side - x], a=np.minimum(self.a[ok] - x, y - x), b=np.minimum(self.b[ok] - (self.side - y), y - x), base=self.base[ok] + x, full=self.full[ok], key=self.key[ok], pos=self.pos[ok])
+            yield Contexts(
+                g=g,
+                left=self.left[ok, x:y],
+                right=self.right[ok, self.side - y : self.side - x],
+                a=np.minimum(self.a[ok] - x, y - x),
+                b=np.minimum(self.b[ok] - (self.side - y), y - x),
+                base=self.base[ok] + x,
+                full=self.full[ok],
+                key=self.key[ok],
+                pos=self.pos[ok],
+            )
 
 
 def solve(c: Contexts) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -301,7 +311,8 @@ def _unpacked(body: bytes, n: int, kinds: list) -> list[np.ndarray]:
 
 def _pack_batch(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.binary())], names=["bucket", "kind", "n", "body"])
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["bucket", "kind", "n", "body"])
 
 
 GRAM_KINDS, SPAN_KINDS, RUN_KINDS = [np.uint64, np.int64, np.int32], [np.int64, np.int32, np.int32], [np.uint64, np.int64, np.int32]
@@ -373,7 +384,8 @@ PLACES = "key long, pos int, h long, multi boolean, last int"
 
 def _places(key, pos, h, multi, last) -> pa.RecordBatch:
     n = len(key)
-    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(pos, pa.int32()), pa.array(h, pa.int64()) if h is not None else pa.nulls(n, pa.int64()), pa.array(multi, pa.bool_()) if multi is not None else pa.nulls(n, pa.bool_()), pa.array(last, pa.int32()) if last is not None else pa.nulls(n, pa.int32())], names=["key", "pos", "h", "multi", "last"])
+    columns = [(key, pa.int64()), (pos, pa.int32()), (h, pa.int64()), (multi, pa.bool_()), (last, pa.int32())]
+    return pa.RecordBatch.from_arrays([pa.nulls(n, kind) if x is None else pa.array(x, kind) for x, kind in columns], names=["key", "pos", "h", "multi", "last"])
 
 
 def _repeated_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,7 +437,8 @@ def _find_contexts(count: int):
                     p = own.field("pos").to_numpy().astype(np.int64)
                     h = own.field("h").to_numpy().view(np.uint64)
                     ctx, a, b = contexts_at(total, inverse, p + at[k], np.int64(at[k]), np.int64(at[k + 1]))
-                    held.append((h, ctx, np.full(len(p), batch.column(0)[i + k].as_py(), np.int64), p.astype(np.int32), a.astype(np.int32), b.astype(np.int32), own.field("multi").to_numpy(zero_copy_only=False).astype(np.uint8)))
+                    key, multi = np.full(len(p), batch.column(0)[i + k].as_py(), np.int64), own.field("multi").to_numpy(zero_copy_only=False)
+                    held.append((h, ctx, key, *(x.astype(np.int32) for x in (p, a, b)), multi.astype(np.uint8)))
             if held:
                 cols = [np.concatenate(x) for x in zip(*held, strict=True)]
                 yield _pack_batch(list(_packed(((cols[0] >> np.uint64(8)) % np.uint64(count)).astype(np.int64), count, 0, cols)))
@@ -467,7 +480,8 @@ def _item_kinds(side: int) -> list:
 
 def _rows_of(c: Contexts, count: int, kind: int) -> list:
     buckets = (mix(c.g) % np.uint64(count)).astype(np.int64)
-    return list(_packed(buckets, count, kind, [c.g, c.left, c.right, c.a.astype(np.int32), c.b.astype(np.int32), c.base.astype(np.int32), c.full.astype(np.uint8), c.key, c.pos.astype(np.int32)]))
+    distances = [x.astype(np.int32) for x in (c.a, c.b, c.base)]
+    return list(_packed(buckets, count, kind, [c.g, c.left, c.right, *distances, c.full.astype(np.uint8), c.key, c.pos.astype(np.int32)]))
 
 
 def _cut_contexts(count: int):
@@ -542,7 +556,9 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append((sha, int((ends - begins).sum()), len(begins), kept.hexdigest(), [{"begin": int(x), "end": int(y)} for x, y in zip(begins, ends, strict=True)]))
         if out:
             cols = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string()), pa.array(cols[4], pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])))], names=["sha", "n_removed", "n_spans", "kept_sha256", "spans"])
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))]
+            arrays = [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["sha", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
 def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
@@ -576,7 +592,8 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     spans = spans_found.unionByName(mixed.where("multi IS NULL")).unionByName(sorted_).select("key", "pos", "last")
     spans = spans.groupBy("key").agg(F.collect_set(F.struct("pos", "last")).alias("spans"))
     by_text = texts.select("key", "text").join(spans, "key").select(F.sha2("text", 256).alias("sha"), "text", "spans")
-    parts = stage(by_text.mapInArrow(_cut_texts, "sha string, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:int,end:int>>").dropDuplicates(["sha"]), "cut")
+    schema = "sha string, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:int,end:int>>"
+    parts = stage(by_text.mapInArrow(_cut_texts, schema).dropDuplicates(["sha"]), "cut")
     passages = found.where(f"last = {PASSAGES}").groupBy("key").agg(F.sum("pos").alias("n_passages"))
     all_rows = rows.select("id", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("sha"), F.xxhash64("text").alias("key"))
     copies = all_rows.groupBy("sha").agg(F.count("*").alias("copies"), F.first("key").alias("key"))

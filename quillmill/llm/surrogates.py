@@ -58,8 +58,16 @@ ANY = "|".join((EMAIL, PHONE, IP, IPV6, HEX, SECRET, IBAN, SSN, CARD, PERSON))
 HINT = rf"[0-9@]|{SECRET_PREFIX}|(?:{FEMALE_TITLES}|{MALE_TITLES})\.? \p{{Lu}}"  # every entity has one of these
 
 DIGITS, LATIN, GREEK, CYRILLIC = "0123456789", "abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщыэюя"
-SYLLABLES = {"latin": ["ba", "den", "ki", "lor", "ma", "nel", "ri", "sa", "tor", "vel", "mi", "jo", "ha", "per", "li", "gun"], "cyrillic": ["ба", "ден", "ки", "лор", "ма", "нел", "ри", "са", "тор", "вел", "ми", "ге", "ха", "пер", "ли", "гун"], "greek": ["βα", "δεν", "κι", "λορ", "μα", "νελ", "ρι", "σα", "τορ", "βελ", "μι", "γε", "χα", "περ", "λι", "γουν"]}
-ENDINGS = {"latin": {"female": "na", "male": "n", "family": "berg"}, "cyrillic": {"female": "на", "male": "н", "family": "енко"}, "greek": {"female": "να", "male": "ν", "family": "ίδη"}}
+SYLLABLES = {
+    "latin": "ba den ki lor ma nel ri sa tor vel mi jo ha per li gun".split(),
+    "cyrillic": "ба ден ки лор ма нел ри са тор вел ми ге ха пер ли гун".split(),
+    "greek": "βα δεν κι λορ μα νελ ρι σα τορ βελ μι γε χα περ λι γουν".split(),
+}
+ENDINGS = {
+    "latin": {"female": "na", "male": "n", "family": "berg"},
+    "cyrillic": {"female": "на", "male": "н", "family": "енко"},
+    "greek": {"female": "να", "male": "ν", "family": "ίδη"},
+}
 
 
 def _whole(pattern: str) -> str:
@@ -221,7 +229,8 @@ def dictionary(entities: DataFrame, secret: str) -> DataFrame:
         if not judged.where("again").limit(1).count():
             return judged.select("key", "surrogate")
         attempt = F.col("attempt") + 1
-        now = stage(judged.select("key", F.when(F.col("again"), attempt).otherwise(F.col("attempt")).alias("attempt"), F.when(F.col("again"), surrogate(F.col("key"), attempt, secret)).otherwise(F.col("surrogate")).alias("surrogate")), "surrogates")
+        again = lambda new, old: F.when(F.col("again"), new).otherwise(F.col(old)).alias(old)
+        now = stage(judged.select("key", again(attempt, "attempt"), again(surrogate(F.col("key"), attempt, secret), "surrogate")), "surrogates")
 
 
 def replace(docs: DataFrame, *, secret: str, text_col: str = "text", extra: str = "n_entities") -> DataFrame:

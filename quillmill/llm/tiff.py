@@ -369,7 +369,8 @@ def pages(df: DataFrame, media_col: str) -> DataFrame:
     source = df.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{media_col}`").cast("binary").alias("__media"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("page", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("samples", pa.int32()), ("compression", pa.int32()), ("predictor", pa.int32()), ("pixels", pa.binary()), ("feature", pa.string()), ("error", pa.string())])
+        numbers = [(n, pa.int32()) for n in ("page", "width", "height", "samples", "compression", "predictor")]
+        schema = pa.schema([*numbers, ("pixels", pa.binary()), ("feature", pa.string()), ("error", pa.string())])
         for b in batches:
             for k in range(b.num_rows):  # a row's pages leave before the next row is opened
                 data, rows = b.column(b.num_columns - 1)[k].as_py(), []
@@ -404,14 +405,16 @@ def store(df: DataFrame, text_col: str, how: Layout | None = None, carry: list[s
                 texts = [whole[at[k] : at[k + 1]] for k in range(part.num_rows)]
                 padded = [pad(t) for t in texts]
                 media = [write_pages(payload_pages(p, x), x) for p, x in ((p, how or layout_of(p)) for p in padded)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([len(t) for t in texts], pa.int64()), pa.array([len(p) for p in padded], pa.int64()), pa.array(media, pa.binary())], names=[*b.schema.names[:-1], "n_bytes", "payload_bytes", "media"])
+                sizes = [pa.array([len(x) for x in rows], pa.int64()) for rows in (texts, padded)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *sizes, pa.array(media, pa.binary())], names=[*b.schema.names[:-1], "n_bytes", "payload_bytes", "media"])
 
     return map_arrow(source, run, T.StructType([*source.schema.fields[:-1], *T._parse_datatype_string(STORED).fields]))
 
 
 def _parts(b: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose last column has about ``most`` bytes."""
-    _, at = flat(b.column(b.num_columns - 1)) if not pa.types.is_binary(b.column(b.num_columns - 1).type) else (None, np.r_[0, np.cumsum([len(x.as_py() or b"") for x in b.column(b.num_columns - 1)])])
+    last = b.column(b.num_columns - 1)
+    at = np.r_[0, np.cumsum([len(x.as_py() or b"") for x in last])] if pa.types.is_binary(last.type) else flat(last)[1]
     i = 0
     while i < b.num_rows:
         j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)

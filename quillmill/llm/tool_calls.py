@@ -133,7 +133,8 @@ def parsed(role: str | None, text: str | None, schemas: dict) -> dict:
                     calls = []
                 else:
                     content = body.get("content")
-                    message = {"role": role, "content": content if isinstance(content, str) else "" if content is None else canonical(content), "tool_calls": [{k: c[k] for k in ("id", "name", "arguments")} for c in calls]}
+                    content = content if isinstance(content, str) else "" if content is None else canonical(content)
+                    message = {"role": role, "content": content, "tool_calls": [{k: c[k] for k in ("id", "name", "arguments")} for c in calls]}
             elif role == "tool" and isinstance(body.get("tool_call_id"), str):
                 result, content = body["tool_call_id"], body.get("content", "")
                 message = {"role": role, "tool_call_id": result, "content": content if isinstance(content, str) else canonical(content)}
@@ -156,20 +157,24 @@ def messages(conversations: DataFrame, schemas: dict) -> DataFrame:
         for b in batches:
             got = [parsed(r, t, schemas) for r, t in zip(b.column(2).to_pylist(), b.column(4).to_pylist(), strict=True)]
             calls = [[{k: c[k] for k in ("id", "name", "refs", "wrong")} for c in g["calls"]] for g in got]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array([g["json"] for g in got], pa.string()), pa.array(calls, struct), pa.array([g["result"] for g in got], pa.string())], names=["conv_id", "turn", "role", "node", "json", "calls", "result"])
+            made = [pa.array([g["json"] for g in got], pa.string()), pa.array(calls, struct), pa.array([g["result"] for g in got], pa.string())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], *made], names=["conv_id", "turn", "role", "node", "json", "calls", "result"])
 
     return rows.mapInArrow(run, PARSED)
 
 
 def link(parts: DataFrame) -> DataFrame:
     """``(conv_id, id, name, wrong, refs, call, call_turn, result)``: each identifier's first call and the node of its result, or null."""
-    calls = parts.select("conv_id", "node", "turn", F.inline("calls")).select("conv_id", "id", F.struct(F.coalesce("turn", F.lit(-(1 << 62))).alias("at"), "node", "turn", "name", "wrong", "refs").alias("c"))
+    place = F.coalesce("turn", F.lit(-(1 << 62))).alias("at")
+    calls = parts.select("conv_id", "node", "turn", F.inline("calls")).select("conv_id", "id", F.struct(place, "node", "turn", "name", "wrong", "refs").alias("c"))
     first = calls.groupBy("conv_id", "id").agg(F.min("c").alias("c"), F.count("*").alias("n_calls"))
     results = parts.where("result IS NOT NULL").select(F.col("conv_id").alias("rc"), F.col("result").alias("rid"), F.col("node").alias("rnode"), F.col("turn").alias("rturn"))
     joined = first.join(results, F.col("conv_id").eqNullSafe(F.col("rc")) & (F.col("id") == F.col("rid")), "left")
     early = F.coalesce(F.col("rturn") < F.col("c.turn"), F.lit(False))
     best = F.min(F.when(F.col("rnode").isNotNull(), F.struct(early.alias("early"), F.coalesce("rturn", F.lit(-(1 << 62))).alias("rturn"), "rnode")))
-    return joined.groupBy("conv_id", "id").agg(F.first("c").alias("c"), best.alias("r")).select("conv_id", "id", "c.name", "c.wrong", "c.refs", F.col("c.node").alias("call"), F.col("c.turn").alias("call_turn"), F.col("r.rnode").alias("result"))
+    linked = joined.groupBy("conv_id", "id").agg(F.first("c").alias("c"), best.alias("r"))
+    ends = F.col("c.node").alias("call"), F.col("c.turn").alias("call_turn"), F.col("r.rnode").alias("result")
+    return linked.select("conv_id", "id", "c.name", "c.wrong", "c.refs", *ends)
 
 
 class _Done:
@@ -205,7 +210,8 @@ def chains(touched: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     for _ in range(rounds + 1):
         ahead = now.select(F.col("node").alias("at"), F.col("at").alias("next"), F.col("steps").alias("s"), F.col("most").alias("m"))
         joined = now.join(ahead, "at", "left")
-        step = joined.select("node", F.coalesce("next", "at").alias("at"), (F.col("steps") + F.coalesce("s", F.lit(0))).alias("steps"), F.greatest("most", "m").alias("most"), F.col("next").isNotNull().alias("open"))
+        steps = (F.col("steps") + F.coalesce("s", F.lit(0))).alias("steps")
+        step = joined.select("node", F.coalesce("next", "at").alias("at"), steps, F.greatest("most", "m").alias("most"), F.col("next").isNotNull().alias("open"))
         step = stage(step, "chains")
         if not step.where("open").limit(1).count():
             return step.drop("open"), step.select("node").limit(0)
@@ -230,7 +236,8 @@ def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     # edges into these, each from what its chain hangs on
     into = edges.join(joins.select(F.col("node").alias("after")), "after").join(touched.select(F.col("node").alias("before"), F.col("turn").alias("own")), "before")
     way = hung.select(F.col("node").alias("before"), "at", "steps", "most")
-    into = into.join(way, "before", "left").select("after", F.coalesce("at", "before").alias("before"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"), F.coalesce("most", "own").alias("most"))
+    steps = (F.coalesce("steps", F.lit(0)) + 1).alias("steps")
+    into = into.join(way, "before", "left").select("after", F.coalesce("at", "before").alias("before"), steps, F.coalesce("most", "own").alias("most"))
     into = stage(into, "into")
     while joins.limit(1).count():
         known = into.join(joins.select(F.col("node").alias("after")), "after").join(done.table().withColumnRenamed("node", "before"), "before", "left")
@@ -259,14 +266,17 @@ def format_chat(conversations: DataFrame, schemas: dict | None = None) -> DataFr
     active = parts.where("size(calls) > 0 OR result IS NOT NULL").dropDuplicates(["node"])
     links = stage(link(active), "links")
     if not links.limit(1).count():
-        placed = parts.select("node").limit(0).select("node", F.lit(None).cast("long").alias("order_turn"), F.lit(None).cast("int").alias("order_level"), F.lit(None).cast("boolean").alias("cyclic"))
+        placed = parts.sparkSession.createDataFrame([], "node string, order_turn long, order_level int, cyclic boolean")
     else:
         results = links.where("result IS NOT NULL").select(F.col("call").alias("before"), F.col("result").alias("after"))
         named = links.select(F.col("conv_id").alias("c"), F.col("call").alias("after"), F.explode("refs").alias("ref"))
         target = links.select("conv_id", F.col("id").alias("ref"), F.coalesce("result", "call").alias("before"))
         refs = named.join(target, F.col("c").eqNullSafe(F.col("conv_id")) & (named.ref == target.ref)).select("before", "after")
         placed = levels(active.select("node", "turn"), results.unionByName(refs))
-    per_call = links.groupBy(F.col("call").alias("node")).agg(F.count("*").alias("n_calls"), F.count("result").alias("n_linked"), F.count_if(F.size("wrong") > 0).alias("n_invalid"), F.array_sort(F.flatten(F.collect_list(F.transform("wrong", lambda w: F.concat(F.col("id"), F.lit(" "), w))))).alias("faults"))
+    wrong = F.array_sort(F.flatten(F.collect_list(F.transform("wrong", lambda w: F.concat(F.col("id"), F.lit(" "), w)))))
+    per_call = links.groupBy(F.col("call").alias("node")).agg(
+        F.count("*").alias("n_calls"), F.count("result").alias("n_linked"), F.count_if(F.size("wrong") > 0).alias("n_invalid"), wrong.alias("faults")
+    )
     linked = links.where("result IS NOT NULL").select(F.col("result").alias("node"), F.lit(True).alias("is_linked")).distinct()
     out = parts.join(placed, "node", "left").join(per_call, "node", "left").join(linked, "node", "left")
     return out.select(
