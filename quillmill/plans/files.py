@@ -128,11 +128,10 @@ def _(spark, sf):
     """The first rows of the tagged files in the files' order, those with a text and a number."""
     base = fresh_path(spark, "training")
     n = F.col("doc_id")
-    d = table(spark, sf, "documents").orderBy("doc_id")
     label = F.when(n % 3 == 0, F.concat((n % 6).cast("string"), F.lit(" points"))).otherwise((n % 6).cast("string"))
-    rows = d.select(F.when(n % 7 != 0, F.col("text")).alias("content"), label.alias("scores"), "lang")
     for lang in ("fr", "en"):
-        sinks.parquet(rows.where(F.col("lang") == lang).drop("lang").coalesce(1), f"{base}/set_{lang}")
+        rows = table(spark, sf, "documents").where(F.col("lang") == lang).coalesce(1).sortWithinPartitions("doc_id")
+        sinks.parquet(rows.select(F.when(n % 7 != 0, F.col("text")).alias("content"), label.alias("scores")), f"{base}/set_{lang}")
     return readers.training_rows(spark, readers.files(spark, base, ".parquet"), lang="fr", limit=50)
 
 
