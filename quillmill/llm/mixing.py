@@ -161,13 +161,15 @@ class Fit:
 
 
 def fit_rates(
-    table: DataFrame, names: tuple[str, ...], weights: dict[str, float], *, floor: float = 0.0, total: float | None = None, steps: int = 100, tolerance: float = 1e-3
+    table: DataFrame, names: tuple[str, ...], weights: dict[str, float], *, floor: float = 0.0, total: float | None = None, steps: int = 40, tolerance: float = 1e-3
 ) -> Fit:
     """Fits rates over ``table`` (tokens, posterior) until every domain is within ``tolerance`` of the total.
 
     ``total``: tokens asked for; by default those that there are, or with a floor the
-    fewest with which no domain needs less than its floor.  ``converged`` of the result says
-    whether the steps were enough; if not, there is a warning too.
+    fewest with which no domain needs less than its floor.  Where a floor stands in the way of
+    a target, the descent ends at the least squares there are: when a step moves no domain by
+    a tenth of the tolerance.  ``converged`` of the result says whether either end was reached
+    within ``steps``; if not, there is a warning too.
     """
     if not names or not weights:
         return Fit((), floor, np.zeros(0), np.zeros(0), np.zeros(0))
@@ -203,12 +205,14 @@ def fit_rates(
     def met() -> bool:
         return bool(np.abs(now - target).max() <= tolerance * max(total, 1e-9))
 
-    while not met() and len(gradients) < steps:
+    still = False
+    while not (met() or still) and len(gradients) < steps:
         gradients.append((now - target) / np.maximum(natural, 1e-9) * (natural > 0))
-        now = sums_at(gradients)
-    if not met():
+        before, now = now, sums_at(gradients)
+        still = bool(np.abs(now - before).max() <= 0.1 * tolerance * max(total, 1e-9))
+    if not (met() or still):
         warnings.warn(f"after {steps} steps the tokens by domain are {now.round()} and not {target.round()}", stacklevel=2)
-    return Fit(tuple(gradients), floor, natural, target, now, met())
+    return Fit(tuple(gradients), floor, natural, target, now, met() or still)
 
 
 def with_rates(docs: DataFrame, d: Domains, fit: Fit, *, text_col: str = "text", rate: str = "rate") -> DataFrame:
