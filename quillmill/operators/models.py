@@ -142,8 +142,10 @@ def generated(c: Column, make: Callable[[], Generator], *, on_failure: str | Non
     return udf(c)
 
 
-def encoded(c: Column, make: Callable[[], Encoder]) -> Column:
-    @F.pandas_udf("array<float>")
+def encoded(c: Column, make: Callable[[], Encoder], *, dtype: str = "float") -> Column:
+    """The encoder's vector of each text, of 32 bits a number; as the encoder has them with ``dtype`` "double"."""
+
+    @F.pandas_udf(f"array<{dtype}>")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield from _fed(make, "encode", None)(batches)
 

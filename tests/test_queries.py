@@ -47,6 +47,17 @@ def test_texts_are_whole(spark, tiny):
     assert catalogue.QUERIES["repair_inner_quotes"](spark, tiny).where("length(repaired) > 80").count() >= turns.where("length(text) > 80").count() > 0
 
 
+def test_encoded_next_to_a_half_and_without_text(spark, tmp_path):
+    """As in SQL, where 32 bits would round to the other side of a half, and where there is no text."""
+    texts = ["near a half 261064", "near a half 644700", "near a half 751121", "near a half 986109", "", "a\0b", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.norm, r.first) for r in catalogue.QUERIES["encoded"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    cur = con.execute(f"SELECT doc_id, norm, first FROM ({catalogue.SQL['encoded']})")
+    assert got == {i: (norm, first) for i, norm, first in cur.fetchall()} and [got[i][1] for i in (0, 1, 2, 3, 6)] == [115, -284, 201, 401, None]
+
+
 def test_every_document_has_a_place(spark, tiny):
     n = spark.read.parquet(f"{tiny}/documents.parquet").count()
     places = [r.place for r in catalogue.QUERIES["seeded_shuffle_rank"](spark, tiny).collect()]
